@@ -137,3 +137,15 @@ def with_views(names: list[str], body: str) -> str:
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
+
+VIEWS["partner_status"] = """
+SELECT event_id AS row_id,
+  CASE WHEN event_id % 2 = 0 THEN '"PK' || CAST(user_id AS VARCHAR) || '"'
+       ELSE '''PK' || CAST(user_id AS VARCHAR) || '''' END AS merchant_order_id,
+  strftime(ts, '%Y-%m-%d %H:%M:%S') AS order_created_at,
+  strftime(ts + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS order_status_updated_at,
+  CASE event_type WHEN 'click' THEN 'Pickup Requested' WHEN 'view' THEN 'On hold' WHEN 'purchase' THEN 'Return'
+       WHEN 'signup' THEN 'Returned To Merchant' WHEN 'error' THEN 'Delivered' END AS order_status,
+  CASE WHEN event_id % 3 = 0 THEN 'carrybee' ELSE 'pathao' END AS partner_name
+FROM events
+"""

@@ -53,3 +53,4 @@ def _load() -> None:
         return
     _loaded = True
     import souk.plans.registered  # noqa: F401  (registers on import)
+    import souk.plans.reg_functions  # noqa: F401

@@ -224,3 +224,31 @@ def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("event_timestamp"),
         F.col("ts").alias("source_ts"),
     )
+
+
+# Fixed values of the test mapping: event type -> partner (3PL) status.
+PARTNER_STATUS_BY_EVENT = {
+    "click": "Pickup Requested",
+    "view": "On hold",
+    "purchase": "Return",
+    "signup": "Returned To Merchant",
+    "error": "Delivered",
+}
+
+
+def partner_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partner carrier file rows: quoted merchant order ids, text times."""
+    ev = load_table(spark, sf_dir, "events")
+    st = None
+    for k, v in PARTNER_STATUS_BY_EVENT.items():
+        st = F.when(F.col("event_type") == k, F.lit(v)) if st is None else st.when(F.col("event_type") == k, F.lit(v))
+    return ev.select(
+        F.col("event_id").alias("row_id"),
+        F.when(F.col("event_id") % 2 == 0, F.concat(F.lit('"PK'), F.col("user_id").cast("string"), F.lit('"')))
+        .otherwise(F.concat(F.lit("'PK"), F.col("user_id").cast("string"), F.lit("'")))
+        .alias("merchant_order_id"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("order_created_at"),
+        F.date_format(F.col("ts") + F.expr("INTERVAL 1 HOURS"), "yyyy-MM-dd HH:mm:ss").alias("order_status_updated_at"),
+        st.alias("order_status"),
+        F.when(F.col("event_id") % 3 == 0, F.lit("carrybee")).otherwise(F.lit("pathao")).alias("partner_name"),
+    )
