@@ -54,3 +54,4 @@ def _load() -> None:
     _loaded = True
     import souk.plans.registered  # noqa: F401  (registers on import)
     import souk.plans.reg_functions  # noqa: F401
+    import souk.plans.reg_journey  # noqa: F401
