@@ -95,6 +95,24 @@ def with_money(lines: DataFrame) -> DataFrame:
     return order_value(voucher_allocation(shipping_allocation(lines)))
 
 
+# ------------------------------------------------------------------ A01
+def with_total_returns(lines: DataFrame, qty_col: str = "return_qty_raw") -> DataFrame:
+    """``total_returns`` = returned quantity of QC-passed, non-failed
+    returns per (order, variant), attached with a window on keys the lines
+    are already partitioned by (no join, no extra shuffle)."""
+    from pyspark.sql.window import Window
+
+    ok = (F.col("is_failed_delivery") == F.lit(False)) & (F.col("is_qc") == F.lit(True))
+    w = Window.partitionBy("order_code", "variant_id")
+    return lines.withColumn("total_returns", F.sum(F.when(ok, F.col(qty_col))).over(w))
+
+
+def return_qty(lines: DataFrame, qty_col: str = "return_qty_raw") -> DataFrame:
+    """A01 as a table: one row per (order, variant) with QC-passed returns."""
+    ok = (F.col("is_failed_delivery") == F.lit(False)) & (F.col("is_qc") == F.lit(True))
+    return lines.filter(ok).groupBy("order_code", "variant_id").agg(F.sum(qty_col).alias("total_returns"))
+
+
 # ------------------------------------------------------------------ X11
 def return_qty_capped(lines: DataFrame, mode: str = "coalesce") -> DataFrame:
     """Return quantity of a line.

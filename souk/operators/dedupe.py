@@ -102,12 +102,12 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[By]) -> DataFrame:
 
 # ------------------------------------------------------------------ W01
 def best_transaction(tx: DataFrame, key: str = "order_ref", status: str = "status", ts: str = "updated_at",
-                     tiebreak: str = "txn_id") -> DataFrame:
+                     tiebreak: tuple[str, ...] = ("txn_id", "amount")) -> DataFrame:
     """Per order: transaction with the alphabetically first status, then the
     latest update (NULL update first, as Postgres sorts DESC); blank or
     NULL statuses are not candidates."""
     cand = tx.filter(F.col(status).isNotNull() & (F.col(status) != ""))
-    return first_per_key(cand, [key], [asc(status), desc(ts), desc(tiebreak)])
+    return first_per_key(cand, [key], [asc(status), desc(ts)] + [desc(t) for t in tiebreak])
 
 
 # ------------------------------------------------------------------ W02

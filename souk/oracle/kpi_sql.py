@@ -75,7 +75,7 @@ def _cohort_select() -> str:
 def daily_kpis_sql(since: str, as_of: str) -> str:
     body = f"""
 WITH m0 AS (
-  SELECT *, SUM(return_qty_raw) OVER (PARTITION BY order_code, variant_id) AS total_returns
+  SELECT *, SUM(CASE WHEN is_failed_delivery = FALSE AND is_qc = TRUE THEN return_qty_raw END) OVER (PARTITION BY order_code, variant_id) AS total_returns
   FROM ({_valid(since, as_of)})
 ),
 {MONEY_CTES},

@@ -116,8 +116,25 @@ SELECT event_type AS event_name,
 FROM events
 """
 
+VIEWS["transactions"] = """
+SELECT l_orderkey * 100 + l_linenumber AS txn_id, l_orderkey AS order_ref,
+  CASE WHEN l_linenumber = 7 THEN '' WHEN l_linestatus = 'F' THEN 'SUCCESS' ELSE 'FAILED' END AS status,
+  CASE WHEN l_linenumber = 3 THEN NULL ELSE l_shipdate END AS updated_at,
+  CAST(l_extendedprice AS DECIMAL(18,2)) AS amount
+FROM lineitem
+"""
+
+VIEWS["returns"] = """
+SELECT 'RT' || CAST(order_code AS VARCHAR) || '-' || CAST(variant_id AS VARCHAR) || '-' || CAST(product_id AS VARCHAR)
+         || '-' || CAST(seller_id AS VARCHAR) AS return_code,
+  order_code, variant_id, product_id, customer_id, is_failed_delivery, is_qc, return_reason,
+  return_qty_raw AS return_qty, return_created_ts,
+  return_created_ts + INTERVAL 1 DAY + (product_id % 24) * INTERVAL 1 HOUR AS return_pkg_created_ts
+FROM order_lines WHERE return_created_ts IS NOT NULL
+"""
+
 # view -> views it reads (beyond the driver tables)
-DEPENDS = {"order_lines": ["order_lines_base"]}
+DEPENDS = {"order_lines": ["order_lines_base"], "returns": ["order_lines"]}
 
 
 def with_views(names: list[str], body: str) -> str:

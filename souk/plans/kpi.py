@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from souk.functions.money import refund_amount, return_qty_capped, with_money
+from souk.functions.money import refund_amount, return_qty_capped, with_money, with_total_returns
 from souk.operators.filters import quality_return_predicate
 
 DEC = "decimal(18,2)"
@@ -50,9 +50,7 @@ def with_returns(lines: DataFrame) -> DataFrame:
     """Attach ``total_returns`` per (order, variant) (A01) with a window on
     the order key (no join, no extra shuffle), then money, return qty and
     refund amount."""
-    w = Window.partitionBy("order_code", "variant_id")
-    out = lines.withColumn("total_returns", F.sum("return_qty_raw").over(w))
-    out = with_money(out)
+    out = with_money(with_total_returns(lines))
     out = return_qty_capped(out, "coalesce")
     return refund_amount(out)
 

@@ -333,9 +333,7 @@ def _case_labels(spark, d):
 
 # ------------------------------------------------------------ money
 def _money_lines(spark, d):
-    l = tv.order_lines(spark, d)
-    w = Window.partitionBy("order_code", "variant_id")
-    l = l.withColumn("total_returns", F.sum("return_qty_raw").over(w))
+    l = M.with_total_returns(tv.order_lines(spark, d))
     return M.refund_amount(M.return_qty_capped(M.with_money(l), "coalesce"))
 
 
@@ -344,7 +342,7 @@ def _money_sql(select: str) -> str:
         ["order_lines"],
         f"""
 WITH m0 AS (
-  SELECT *, SUM(return_qty_raw) OVER (PARTITION BY order_code, variant_id) AS total_returns FROM order_lines
+  SELECT *, SUM(CASE WHEN is_failed_delivery = FALSE AND is_qc = TRUE THEN return_qty_raw END) OVER (PARTITION BY order_code, variant_id) AS total_returns FROM order_lines
 ),
 {MONEY_CTES}
 {select}""",

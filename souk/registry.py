@@ -55,3 +55,4 @@ def _load() -> None:
     import souk.plans.registered  # noqa: F401  (registers on import)
     import souk.plans.reg_functions  # noqa: F401
     import souk.plans.reg_journey  # noqa: F401
+    import souk.plans.reg_orders  # noqa: F401

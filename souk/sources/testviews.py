@@ -226,6 +226,42 @@ def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payment transactions: several per order, some blank status, some
+    without an update time."""
+    li = load_table(spark, sf_dir, "lineitem")
+    ln = F.col("l_linenumber")
+    return li.select(
+        (F.col("l_orderkey") * 100 + ln).alias("txn_id"),
+        F.col("l_orderkey").alias("order_ref"),
+        F.when(ln == 7, F.lit("")).when(F.col("l_linestatus") == "F", "SUCCESS").otherwise("FAILED").alias("status"),
+        F.when(ln == 3, F.lit(None).cast("timestamp_ntz")).otherwise(F.col("l_shipdate")).alias("updated_at"),
+        F.col("l_extendedprice").cast(DEC).alias("amount"),
+    )
+
+
+def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Return rows (one per returned line) with their return package time."""
+    l = order_lines(spark, sf_dir)
+    return l.filter(F.col("return_created_ts").isNotNull()).select(
+        F.concat(
+            F.lit("RT"), F.col("order_code").cast("string"), F.lit("-"), F.col("variant_id").cast("string"),
+            F.lit("-"), F.col("product_id").cast("string"), F.lit("-"), F.col("seller_id").cast("string"),
+        ).alias("return_code"),
+        "order_code",
+        "variant_id",
+        "product_id",
+        "customer_id",
+        "is_failed_delivery",
+        "is_qc",
+        "return_reason",
+        F.col("return_qty_raw").alias("return_qty"),
+        "return_created_ts",
+        (F.col("return_created_ts") + F.expr("INTERVAL 1 DAYS")
+         + (F.col("product_id") % 24) * F.expr("INTERVAL 1 HOURS")).alias("return_pkg_created_ts"),
+    )
+
+
 # Fixed values of the test mapping: event type -> partner (3PL) status.
 PARTNER_STATUS_BY_EVENT = {
     "click": "Pickup Requested",
