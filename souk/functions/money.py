@@ -181,23 +181,25 @@ def return_flags(lines: DataFrame) -> DataFrame:
     """Return state per line and the quantities / GMV per state, plus the
     net (delivered and not returned) order / item / money flags."""
     qc, failed = F.col("is_qc"), F.col("is_failed_delivery")
-    not_failed = failed.isNull() | (failed == F.lit(False))
-    returned = qc.isNotNull() & not_failed
-    valid = (qc == F.lit(True)) & not_failed
-    invalid = (qc == F.lit(False)) & not_failed
-    delivered = F.col("customer_status") == "Delivered"
-    rq = F.coalesce(F.col("return_qty"), F.col("qty"))
+    not_failed = failed == F.lit(False)
+    returned = F.coalesce(qc.isNotNull() & not_failed, F.lit(False))
+    valid = F.coalesce((qc == F.lit(True)) & not_failed, F.lit(False))
+    invalid = F.coalesce((qc == F.lit(False)) & not_failed, F.lit(False))
+    delivered = F.coalesce(F.col("customer_status") == "Delivered", F.lit(False))
+    q = F.col("qty")
+    zero = F.lit(0).cast(DEC)
     return lines.withColumns(
         {
             "is_returned": returned,
             "is_valid_return": valid,
             "is_invalid_return": invalid,
-            "returned_qty": F.when(returned, rq).otherwise(F.lit(0)),
-            "valid_return_qty": F.when(valid, rq).otherwise(F.lit(0)),
-            "invalid_return_qty": F.when(invalid, rq).otherwise(F.lit(0)),
-            "returned_gmv": F.when(returned, F.col("total_price")).otherwise(F.lit(0).cast(DEC)),
+            "returned_qty": F.when(returned, q).otherwise(F.lit(0)),
+            "valid_return_qty": F.when(valid, q).otherwise(F.lit(0)),
+            "invalid_return_qty": F.when(invalid, q).otherwise(F.lit(0)),
+            "gmv_valid_return": F.when(valid, F.col("total_price")).otherwise(zero),
+            "gmv_invalid_return": F.when(invalid, F.col("total_price")).otherwise(zero),
             "is_net": delivered & ~returned,
-            "net_qty": F.when(delivered & ~returned, F.col("qty")).otherwise(F.lit(0)),
-            "net_gmv": F.when(delivered & ~returned, F.col("total_price")).otherwise(F.lit(0).cast(DEC)),
+            "net_qty": F.when(delivered & ~returned, q).otherwise(F.lit(0)),
+            "net_gmv": F.when(delivered & ~returned, F.col("total_price")).otherwise(zero),
         }
     )

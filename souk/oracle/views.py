@@ -47,7 +47,7 @@ SELECT
   'D' || CAST(o.o_custkey % 200 AS VARCHAR) AS device_id,
   '1' || lpad(CAST(o.o_custkey % 400 AS VARCHAR), 9, '0') AS phone,
   'House ' || CAST(o.o_custkey % 90 AS VARCHAR) || ', Road ' || CAST(o.o_custkey % 13 AS VARCHAR)
-    || CASE WHEN o.o_custkey % 5 = 0 THEN ', call 01' || lpad(CAST(o.o_custkey % 97 AS VARCHAR), 9, '0')
+    || CASE WHEN o.o_custkey % 5 = 0 THEN ', call 01' || lpad(CAST(o.o_custkey % 300 AS VARCHAR), 9, '0')
             ELSE '' END AS address,
   'State' || CAST(o.o_custkey % 8 AS VARCHAR) AS shipping_state,
   'City' || CAST(o.o_custkey % 20 AS VARCHAR) AS shipping_city,
@@ -137,8 +137,13 @@ FROM order_lines WHERE return_created_ts IS NOT NULL
 DEPENDS = {"order_lines": ["order_lines_base"], "returns": ["order_lines"]}
 
 
-def with_views(names: list[str], body: str) -> str:
+def with_views(names: list[str], body: str, recursive: bool = False) -> str:
     """``WITH`` clause defining ``names`` (and their dependencies) + body."""
+    if recursive:
+        out = with_views(names, body)
+        return "WITH RECURSIVE " + out[5:]
+    if not names:
+        return body.strip()
     ordered: list[str] = []
 
     def add(n: str) -> None:

@@ -450,12 +450,11 @@ def _refund_eligibility(spark, d):
     "return_flags",
     lambda: _money_sql(
         """SELECT order_code, variant_id, product_id,
-  (is_qc IS NOT NULL AND (is_failed_delivery IS NULL OR is_failed_delivery = FALSE)) AS is_returned,
-  (is_qc = TRUE AND (is_failed_delivery IS NULL OR is_failed_delivery = FALSE)) AS is_valid_return,
-  (is_qc = FALSE AND (is_failed_delivery IS NULL OR is_failed_delivery = FALSE)) AS is_invalid_return,
-  CASE WHEN is_qc IS NOT NULL AND (is_failed_delivery IS NULL OR is_failed_delivery = FALSE)
-       THEN return_qty ELSE 0 END AS returned_qty,
-  CASE WHEN customer_status = 'Delivered' AND NOT (is_qc IS NOT NULL AND (is_failed_delivery IS NULL OR is_failed_delivery = FALSE))
+  COALESCE(is_qc IS NOT NULL AND is_failed_delivery = FALSE, FALSE) AS is_returned,
+  COALESCE(is_qc = TRUE AND is_failed_delivery = FALSE, FALSE) AS is_valid_return,
+  COALESCE(is_qc = FALSE AND is_failed_delivery = FALSE, FALSE) AS is_invalid_return,
+  CASE WHEN is_qc IS NOT NULL AND is_failed_delivery = FALSE THEN qty ELSE 0 END AS returned_qty,
+  CASE WHEN customer_status = 'Delivered' AND NOT COALESCE(is_qc IS NOT NULL AND is_failed_delivery = FALSE, FALSE)
        THEN qty ELSE 0 END AS net_qty
 FROM m4"""
     ),

@@ -56,3 +56,4 @@ def _load() -> None:
     import souk.plans.reg_functions  # noqa: F401
     import souk.plans.reg_journey  # noqa: F401
     import souk.plans.reg_orders  # noqa: F401
+    import souk.plans.reg_risk  # noqa: F401

@@ -74,7 +74,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     qty = F.col("l_quantity").cast("bigint")
     addr_phone = F.when(
         cust % 5 == 0,
-        F.concat(F.lit(", call 01"), F.lpad((cust % 97).cast("string"), 9, "0")),
+        F.concat(F.lit(", call 01"), F.lpad((cust % 300).cast("string"), 9, "0")),
     ).otherwise(F.lit(""))
 
     base = j.select(
@@ -240,6 +240,34 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def voucher_sheets(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Two voucher-limit sheets (code, per-user limit as text, row order);
+    the second repeats two codes of the first, one limit is not a number."""
+    r = load_table(spark, sf_dir, "region")
+    n = load_table(spark, sf_dir, "nation")
+    s1 = r.select(
+        F.concat(F.lit("SALE"), F.col("r_regionkey").cast("string")).alias("mechanic_detail"),
+        F.when(F.col("r_regionkey") == 4, F.lit("two"))
+        .otherwise((F.col("r_regionkey") % 3 + 1).cast("string"))
+        .alias("voucher_per_user"),
+        F.col("r_regionkey").cast("long").alias("row_no"),
+    )
+    s2 = n.filter(F.col("n_nationkey") < 2).select(
+        F.concat(F.lit("SALE"), F.col("n_nationkey").cast("string")).alias("mechanic_detail"),
+        (F.col("n_nationkey") + 2).cast("string").alias("voucher_per_user"),
+        F.col("n_nationkey").cast("long").alias("row_no"),
+    )
+    return [s1, s2]
+
+
+def free_shipping_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = load_table(spark, sf_dir, "nation").filter(F.col("n_nationkey") < 7)
+    return n.select(
+        F.col("n_nationkey").cast("string").alias("template_id"),
+        F.when(F.col("n_nationkey") % 3 == 0, F.lit("x")).otherwise((F.col("n_nationkey") * 3).cast("string")).alias("per_user"),
+    )
+
+
 def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Return rows (one per returned line) with their return package time."""
     l = order_lines(spark, sf_dir)
