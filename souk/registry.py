@@ -57,3 +57,4 @@ def _load() -> None:
     import souk.plans.reg_journey  # noqa: F401
     import souk.plans.reg_orders  # noqa: F401
     import souk.plans.reg_risk  # noqa: F401
+    import souk.plans.reg_events  # noqa: F401
