@@ -58,3 +58,4 @@ def _load() -> None:
     import souk.plans.reg_orders  # noqa: F401
     import souk.plans.reg_risk  # noqa: F401
     import souk.plans.reg_events  # noqa: F401
+    import souk.plans.reg_io  # noqa: F401

@@ -98,19 +98,39 @@ def csv_projection(spark: SparkSession, path: str, columns: Iterable[str], encod
 
 
 # ------------------------------------------------------------------------ S06
-def latest_file_scan(spark: SparkSession, folder: str, prefix: str, fmt: str = "csv") -> DataFrame:
-    """Rows of the newest file (by modification time) whose name starts with
-    ``prefix``.  Uses the file source's hidden ``_metadata`` column; the
-    newest file is found by a distributed max, then the scan is filtered to
-    it (a file listing, never a driver-side row loop)."""
+def latest_file_scan(spark: SparkSession, folder: str, prefix: str, fmt: str = "csv", recursive: bool = False) -> DataFrame:
+    """Rows of the newest file (by modification time) whose path below
+    ``folder`` starts with ``prefix``.  Uses the file source's hidden
+    ``_metadata`` column; the newest file is found by a distributed max (a
+    one-row result, so its broadcast is bounded), then the scan is
+    semi-joined to it - never a driver-side listing or row loop."""
+    import re
+
     reader = spark.read.format(fmt).option("header", True)
-    df = reader.load(folder).select("*", F.col("_metadata.file_name").alias("_file"),
-                                    F.col("_metadata.file_modification_time").alias("_mtime"))
-    df = df.filter(F.col("_file").startswith(prefix))
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
+    df = reader.load(folder).select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_modification_time").alias("_mtime")
+    )
+    rel = F.regexp_replace(F.col("_file"), "^.*?" + re.escape(folder.rstrip("/")) + "/", "")
+    df = df.filter(rel.startswith(prefix))
     newest = df.agg(F.max_by("_file", F.struct("_mtime", "_file")).alias("_newest"))
     return df.join(F.broadcast(newest), F.col("_file") == F.col("_newest"), "left_semi").drop("_file", "_mtime")
 
 
+# ------------------------------------------------------------------ U02
+def partner_union(frames: dict[str, DataFrame], label: str = "source") -> DataFrame:
+    """Stack partner frames on the columns they all share (in the first
+    frame's order), tagging each row with its partner name."""
+    names = list(frames)
+    common = [c for c in frames[names[0]].columns if all(c in frames[n].columns for n in names[1:])]
+    out = None
+    for n in names:
+        part = frames[n].select(*common, F.lit(n).alias(label))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # -------------------------------------------------------------- S08/S09/S14
 def overwrite_verify(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None):
     """Full-replace sink with row-count verification.
