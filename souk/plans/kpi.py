@@ -72,134 +72,86 @@ def daily_kpis(lines: DataFrame, since: str, as_of: str) -> DataFrame:
     delivered = F.col("customer_status") == "Delivered"
     failed = F.col("is_failed_delivery")
     retail = F.col("seller_id") == RETAIL_SELLER_ID
-    nos_line = (failed.isNull() | (failed == F.lit(False))) & delivered
-
-    line_flags = base.select(
-        "order_date",
-        "order_code",
-        "customer_id",
-        "seller_id",
-        "qty",
-        "total_price",
-        "is_crm_confirm",
-        "refund_amount",
-        no_subsidy.alias("non_assisted"),
-        delivered.alias("delivered"),
-        nos_line.alias("nos"),
-        (failed == F.lit(True)).alias("failed"),
-        (failed.isNull() & F.col("cancel_reason").isNotNull()).alias("cancelled"),
-        (failed.isNull() & F.col("cancel_reason").isin(*SELLER_CANCEL_REASONS)).alias("seller_cancelled"),
-        (F.col("platform_shipping") + F.col("platform_discount") + F.col("seller_shipping") + F.col("seller_discount"))
-        .alias("subsidy"),
-        (_z("platform_discount") + _z("platform_shipping")).alias("platform_subsidy"),
-        (_z("seller_discount") + _z("seller_shipping")).alias("seller_subsidy"),
-        (_z("seller_shipping") + _z("platform_shipping")).alias("shipping_subsidy"),
-        "customer_shipping",
-        "platform_discount",
-    )
-
-    # (order, seller) grain: distinct seller-order codes.
-    seller_orders = line_flags.groupBy("order_date", "order_code", "customer_id", "seller_id").agg(
-        F.bool_or("cancelled").alias("so_cancelled"),
-        F.bool_or("seller_cancelled").alias("so_seller_cancelled"),
-    )
-    seller_day = seller_orders.groupBy("order_date").agg(
-        _cnt(F.col("seller_id") == RETAIL_SELLER_ID).alias("retail_orders"),
-        _cnt(F.col("so_cancelled")).alias("cancelled_orders"),
-        _cnt(F.col("so_seller_cancelled")).alias("seller_cancelled_orders"),
+    nos = (failed.isNull() | (failed == F.lit(False))) & delivered
+    cancelled = failed.isNull() & F.col("cancel_reason").isNotNull()
+    seller_cancelled = failed.isNull() & F.col("cancel_reason").isin(*SELLER_CANCEL_REASONS)
+    quality = (
+        (F.col("is_qc") == F.lit(True))
+        & (F.coalesce(failed, F.lit(False)) == F.lit(False))
+        & quality_return_predicate(F.col("return_reason"))
     )
-
-    # order grain
-    orders = line_flags.groupBy("order_date", "order_code", "customer_id").agg(
-        F.bool_or("delivered").alias("o_delivered"),
-        F.bool_or("non_assisted").alias("o_non_assisted"),
-        F.bool_or("nos").alias("o_nos"),
-        F.bool_or(F.col("nos") & retail).alias("o_retail_nos"),
-        F.bool_or("failed").alias("o_failed"),
+    price = F.col("total_price")
+
+    # order grain - keys contain the order code, which is how the lines are
+    # already partitioned: no exchange.  Per-order sets (sellers, return
+    # quantities) are bounded by the lines of one order.
+    orders = base.groupBy("order_date", "order_code", "customer_id").agg(
+        F.bool_or(delivered).alias("o_delivered"),
+        F.bool_or(no_subsidy).alias("o_non_assisted"),
+        F.bool_or(nos).alias("o_nos"),
+        F.bool_or(nos & retail).alias("o_retail_nos"),
+        F.bool_or(failed == F.lit(True)).alias("o_failed"),
         F.bool_or("is_crm_confirm").alias("o_crm"),
         F.bool_or(retail).alias("o_retail"),
+        F.size(F.collect_set(F.when(cancelled, F.col("seller_id")))).alias("o_cancel_sellers"),
+        F.size(F.collect_set(F.when(seller_cancelled, F.col("seller_id")))).alias("o_seller_cancel_sellers"),
+        F.collect_set(F.when(quality, F.col("return_qty"))).alias("o_quality_qty"),
         F.sum("qty").alias("o_items"),
-        F.sum("total_price").alias("o_gmv"),
-        F.sum(F.when(F.col("non_assisted"), F.col("total_price"))).alias("o_non_assisted_gmv"),
-        F.sum("subsidy").alias("o_subsidy"),
-        F.sum(F.coalesce("platform_subsidy", F.lit(0))).alias("o_platform_subsidy"),
-        F.sum(F.coalesce("seller_subsidy", F.lit(0))).alias("o_seller_subsidy"),
-        F.sum(F.coalesce("shipping_subsidy", F.lit(0))).alias("o_shipping_subsidy"),
-        F.sum(F.coalesce("customer_shipping", F.lit(0))).alias("o_customer_shipping"),
-        F.sum(F.coalesce("platform_discount", F.lit(0))).alias("o_platform_discount"),
-        F.sum(F.when(F.col("delivered"), F.col("total_price"))).alias("o_nmv"),
-        F.sum(F.when(F.col("delivered"), F.col("qty"))).alias("o_nis"),
-        F.sum(F.when(retail, F.col("total_price"))).alias("o_retail_gmv"),
+        F.sum(price).alias("o_gmv"),
+        F.sum(F.when(no_subsidy, price)).alias("o_non_assisted_gmv"),
+        F.sum(F.col("platform_shipping") + F.col("platform_discount") + F.col("seller_shipping") + F.col("seller_discount"))
+        .alias("o_subsidy"),
+        F.sum(_z("platform_discount") + _z("platform_shipping")).alias("o_platform_subsidy"),
+        F.sum(_z("seller_discount") + _z("seller_shipping")).alias("o_seller_subsidy"),
+        F.sum(_z("seller_shipping") + _z("platform_shipping")).alias("o_shipping_subsidy"),
+        F.sum(_z("customer_shipping")).alias("o_customer_shipping"),
+        F.sum(_z("platform_discount")).alias("o_platform_discount"),
+        F.sum(F.when(delivered, price)).alias("o_nmv"),
+        F.sum(F.when(delivered, F.col("qty"))).alias("o_nis"),
+        F.sum(F.when(retail, price)).alias("o_retail_gmv"),
         F.sum(F.when(retail, F.col("qty"))).alias("o_retail_items"),
-        F.sum(F.when(F.col("delivered") & retail, F.col("total_price"))).alias("o_retail_nmv"),
-    )
-    order_day = orders.groupBy("order_date").agg(
-        F.count(F.lit(1)).alias("gross_orders"),
-        _cnt(F.col("o_delivered")).alias("delivered_orders"),
-        _cnt(F.col("o_non_assisted")).alias("non_assisted_orders"),
-        _cnt(F.col("o_nos")).alias("nos"),
-        _cnt(F.col("o_retail_nos")).alias("retail_nos"),
-        _cnt(F.col("o_failed")).alias("failed_delivery"),
-        _cnt(F.col("o_crm")).alias("net_orders"),
-        F.sum("o_items").alias("total_items"),
-        F.sum("o_gmv").alias("total_gmv"),
-        F.sum("o_non_assisted_gmv").alias("non_assisted_gmv"),
-        F.sum("o_subsidy").alias("total_subsidy"),
-        F.sum("o_platform_subsidy").alias("platform_subsidy"),
-        F.sum("o_seller_subsidy").alias("seller_subsidy"),
-        F.sum("o_shipping_subsidy").alias("shipping_subsidy"),
-        F.sum("o_customer_shipping").alias("customer_shipping"),
-        F.sum("o_platform_discount").alias("platform_discount"),
-        F.sum("o_nmv").alias("nmv"),
-        F.sum("o_nis").alias("nis"),
-        F.sum("o_retail_gmv").alias("retail_gmv"),
-        F.sum("o_retail_items").alias("retail_items"),
-        F.sum("o_retail_nmv").alias("retail_nmv"),
+        F.sum(F.when(delivered & retail, price)).alias("o_retail_nmv"),
+        F.sum(F.when((failed == F.lit(False)) & (F.col("is_qc") == F.lit(True)), F.col("refund_amount"))).alias("o_rmv"),
     )
 
-    # buyer-day grain
+    sums = ["items", "gmv", "non_assisted_gmv", "subsidy", "platform_subsidy", "seller_subsidy", "shipping_subsidy",
+            "customer_shipping", "platform_discount", "nmv", "nis", "retail_gmv", "retail_items", "retail_nmv", "rmv"]
+    counted = ["delivered", "non_assisted", "nos", "retail_nos", "failed", "crm", "retail"]
+    # buyer-day grain: one shuffle on (day, customer); order metrics are
+    # carried up as partial sums / counts.
     buyers = orders.groupBy("order_date", "customer_id").agg(
-        F.bool_or("o_non_assisted").alias("b_non_assisted"),
-        F.bool_or("o_retail").alias("b_retail"),
-        F.bool_or("o_crm").alias("b_crm"),
+        F.count(F.lit(1)).alias("b_orders"),
+        *[F.count_if(F.col(f"o_{c}")).alias(f"b_n_{c}") for c in counted],
+        F.sum("o_cancel_sellers").alias("b_cancel_sellers"),
+        F.sum("o_seller_cancel_sellers").alias("b_seller_cancel_sellers"),
+        *[F.sum(f"o_{c}").alias(f"b_{c}") for c in sums],
     )
-    buyer_day = buyers.groupBy("order_date").agg(
+    day = buyers.groupBy("order_date").agg(
+        F.sum("b_orders").alias("gross_orders"),
+        F.sum("b_n_delivered").alias("delivered_orders"),
+        F.sum("b_n_non_assisted").alias("non_assisted_orders"),
+        F.sum("b_n_nos").alias("nos"),
+        F.sum("b_n_retail_nos").alias("retail_nos"),
+        F.sum("b_n_failed").alias("failed_delivery"),
+        F.sum("b_n_crm").alias("net_orders"),
+        F.sum("b_n_retail").alias("retail_orders"),
+        F.sum("b_cancel_sellers").alias("cancelled_orders"),
+        F.sum("b_seller_cancel_sellers").alias("seller_cancelled_orders"),
+        *[F.sum(f"b_{c}").alias(c) for c in sums],
         F.count(F.lit(1)).alias("total_buyers"),
-        _cnt(F.col("b_non_assisted")).alias("non_assisted_buyers"),
-        _cnt(F.col("b_retail")).alias("retail_buyers"),
-        _cnt(F.col("b_crm")).alias("net_buyers"),
+        F.count_if(F.col("b_n_non_assisted") > 0).alias("non_assisted_buyers"),
+        F.count_if(F.col("b_n_retail") > 0).alias("retail_buyers"),
+        F.count_if(F.col("b_n_crm") > 0).alias("net_buyers"),
     )
-
-    # RMV and quality returns read lines directly (sum and a distinct over
-    # a handful of quantity values per day).
-    rmv_day = base.groupBy("order_date").agg(
-        F.sum(
-            F.when((F.col("is_failed_delivery") == F.lit(False)) & (F.col("is_qc") == F.lit(True)), F.col("refund_amount"))
-        ).alias("rmv")
-    )
-    quality = (
-        base.filter(
-            (F.col("is_qc") == F.lit(True))
-            & (F.coalesce(F.col("is_failed_delivery"), F.lit(False)) == F.lit(False))
-            & quality_return_predicate(F.col("return_reason"))
-        )
-        .groupBy("order_date", "return_qty")
-        .agg(F.lit(1).alias("_x"))
+    ranked = ranked_day_stats(buyers.select("order_date", "customer_id"))
+    quality_day = (
+        orders.select("order_date", F.explode("o_quality_qty").alias("q"))
+        .distinct()
         .groupBy("order_date")
         .agg(F.count(F.lit(1)).alias("quality_returns"))
     )
-
-    user_type = new_returning_from(buyers.select("order_date", "customer_id"))
-    cohort = repurchase_cohort_from(buyers.select("order_date", "customer_id"))
-
-    day = (
-        order_day.join(seller_day, "order_date", "left")
-        .join(buyer_day, "order_date", "left")
-        .join(rmv_day, "order_date", "left")
-        .join(quality, "order_date", "left")
-        .join(user_type, "order_date", "left")
-        .join(cohort, "order_date", "left")
-    )
+    # per-day frames have one row per calendar day
+    d = day.join(ranked, "order_date", "left").join(quality_day, "order_date", "left")
     g2n = F.round(
         F.when(F.col("gross_orders") == 0, F.lit(0).cast("decimal(38,18)")).otherwise(
             F.col("delivered_orders").cast("decimal(20,0)") / F.col("gross_orders").cast("decimal(20,0)")
@@ -207,7 +159,7 @@ def daily_kpis(lines: DataFrame, since: str, as_of: str) -> DataFrame:
         2,
     )
     zero = F.lit(0).cast(DEC)
-    return day.select(
+    return d.select(
         "order_date",
         F.rpad(F.date_format("order_date", "EEEE"), 9, " ").alias("weekday"),
         F.month("order_date").alias("month"),
@@ -216,9 +168,9 @@ def daily_kpis(lines: DataFrame, since: str, as_of: str) -> DataFrame:
         "non_assisted_orders",
         (F.col("gross_orders") - F.col("non_assisted_orders")).alias("assisted_orders"),
         F.lit("0").alias("b2b_orders"),
-        F.coalesce("retail_orders", F.lit(0)).alias("retail_orders"),
+        "retail_orders",
         g2n.alias("g2n"),
-        "total_items",
+        F.col("items").alias("total_items"),
         "total_buyers",
         "new_buyers",
         "returning_buyers",
@@ -226,21 +178,16 @@ def daily_kpis(lines: DataFrame, since: str, as_of: str) -> DataFrame:
         (F.col("total_buyers") - F.col("non_assisted_buyers")).alias("assisted_buyers"),
         "retail_buyers",
         F.lit(0).cast("bigint").alias("b2b_buyers"),
-        "total_gmv",
+        F.col("gmv").alias("total_gmv"),
         F.coalesce("non_assisted_gmv", zero).alias("non_assisted_gmv"),
-        (F.col("total_gmv") - F.coalesce("non_assisted_gmv", zero)).alias("assisted_gmv"),
-        "total_subsidy",
+        (F.col("gmv") - F.coalesce("non_assisted_gmv", zero)).alias("assisted_gmv"),
+        F.col("subsidy").alias("total_subsidy"),
         "platform_subsidy",
         "seller_subsidy",
         "shipping_subsidy",
         "customer_shipping",
         "platform_discount",
-        "days_0_7",
-        "days_8_15",
-        "days_16_30",
-        "days_31_45",
-        "days_46_60",
-        "days_over_60",
+        *[name for name, _, _ in BUCKETS],
         F.coalesce("retail_gmv", zero).alias("retail_gmv"),
         F.coalesce("retail_items", F.lit(0)).alias("retail_items"),
         "nmv",
@@ -258,6 +205,28 @@ def daily_kpis(lines: DataFrame, since: str, as_of: str) -> DataFrame:
     )
 
 
+def ranked_day_stats(buyer_days_df: DataFrame) -> DataFrame:
+    """New / returning buyers and repeat-gap buckets per day from one
+    ranked pass (one window, one aggregate)."""
+    r = _ranked_buyer_days(buyer_days_df)
+    rep = F.col("date_diff") > 0
+    aggs = [
+        F.count_if(F.col("rank") == 1).alias("new_buyers"),
+        F.count_if(F.col("rank") > 1).alias("returning_buyers"),
+        F.count_if(rep).alias("_n"),
+    ]
+    for name, lo, hi in BUCKETS:
+        cond = F.col("date_diff") >= lo if hi is None else F.col("date_diff").between(lo, hi)
+        aggs.append(F.count_if(rep & cond).alias(name))
+    g = r.groupBy("order_date").agg(*aggs)
+    return g.select(
+        "order_date",
+        "new_buyers",
+        "returning_buyers",
+        *[F.when(F.col("_n") > 0, _pct(F.col(name), F.col("_n"))).alias(name) for name, _, _ in BUCKETS],
+    )
+
+
 # ------------------------------------------------------------------ W06
 def _ranked_buyer_days(buyer_days: DataFrame) -> DataFrame:
     """Rank and day gap per (customer, day).  The window partition is one
