@@ -77,6 +77,14 @@ VOUCHER_LIMIT_OVERRIDES = {
 
 ENTITY_SOURCES = [("DeviceID", "device_id"), ("Phone", "phone")]
 
+# Columns of the risk input the entity / identity / risk chain reads.
+RISK_COLUMNS = [
+    "order_code", "order_date", "customer_id", "seller_id", "product_id", "variant_id", "device_id", "phone",
+    "phone_from_address", "customer_status", "payment_method", "voucher_code", "voucher_discount",
+    "free_shipping_id", "platform_shipping", "qty", "total_price", "is_qc", "is_failed_delivery", "cancel_reason",
+    "discount_amount", "vertical", "cat1", "deepest_category", "shipping_state", "shipping_city", "shipping_zone",
+]
+
 
 def risk_lines(lines: DataFrame, tree: DataFrame | None = None) -> DataFrame:
     """Order-report lines as the risk engine reads them: money columns,

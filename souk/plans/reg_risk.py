@@ -27,7 +27,9 @@ def _base(spark, d):
 
     ensure_checkpoint_dir(spark)
     tree = category.category_tree(tv.categories(spark, d), tv.industries(spark, d))
-    return clean_orders(EN.risk_lines(tv.order_lines(spark, d), tree)).checkpoint()
+    # prune to what the chain reads before materialising (a checkpoint is
+    # not column-pruned by later projections)
+    return clean_orders(EN.risk_lines(tv.order_lines(spark, d), tree)).select(*EN.RISK_COLUMNS).checkpoint()
 
 
 def _limits(spark, d):
