@@ -98,12 +98,15 @@ def with_money(lines: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ A01
 def with_total_returns(lines: DataFrame, qty_col: str = "return_qty_raw") -> DataFrame:
     """``total_returns`` = returned quantity of QC-passed, non-failed
-    returns per (order, variant), attached with a window on keys the lines
-    are already partitioned by (no join, no extra shuffle)."""
+    returns per (order, variant), attached with a window (no join).  The
+    window is partitioned by the order alone and sums the *peers* of the
+    row's variant (range frame 0..0 over ``variant_id``), so it needs only
+    the order-key clustering that the lineitem/orders join and the later
+    order-grain aggregates share - no second exchange."""
     from pyspark.sql.window import Window
 
     ok = (F.col("is_failed_delivery") == F.lit(False)) & (F.col("is_qc") == F.lit(True))
-    w = Window.partitionBy("order_code", "variant_id")
+    w = Window.partitionBy("order_code").orderBy("variant_id").rangeBetween(0, 0)
     return lines.withColumn("total_returns", F.sum(F.when(ok, F.col(qty_col))).over(w))
 
 

@@ -29,36 +29,41 @@ def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     component is the smallest node id of the node's component."""
     from souk.session import ensure_checkpoint_dir
 
-    ensure_checkpoint_dir(edges.sparkSession)
-    sym = edges.select(F.col("src").alias("a"), F.col("dst").alias("b")).unionByName(
-        edges.select(F.col("dst").alias("a"), F.col("src").alias("b"))
-    ).filter(F.col("a") != F.col("b")).distinct().checkpoint()
+    spark = edges.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # adjacency in both directions, hash-partitioned by the node whose label
+    # is looked up; checkpointing keeps that partitioning, so the per-round
+    # join with the (equally partitioned) label table needs no exchange
+    sym = (
+        edges.select(F.col("src").alias("a"), F.col("dst").alias("b"))
+        .unionByName(edges.select(F.col("dst").alias("a"), F.col("src").alias("b")))
+        .filter(F.col("a") != F.col("b"))
+        .distinct()
+        .repartition(n, "b")
+        .checkpoint()
+    )
     nodes = edges.select(F.col("src").alias("node")).unionByName(edges.select(F.col("dst").alias("node"))).distinct()
-    labels = nodes.select("node", F.col("node").alias("label")).checkpoint()
+    labels = nodes.select(F.col("node").alias("b"), F.col("node").alias("label")).repartition(n, "b").checkpoint()
     for _ in range(max_rounds):
-        # 1. smallest label among neighbours (map-side min, skew-safe)
-        nb = (
-            sym.join(labels.withColumnRenamed("node", "b"), "b")
-            .groupBy("a")
-            .agg(F.min("label").alias("m"))
-        )
-        step = labels.join(nb, labels["node"] == nb["a"], "left").select(
-            "node", F.least("label", F.coalesce("m", "label")).alias("label")
+        # 1. new label = min(own label, neighbours' labels); one map-side
+        #    combined aggregate (a hub node costs one partial min per task)
+        cand = labels.select(F.col("b").alias("node"), "label", F.col("label").alias("own")).unionByName(
+            sym.join(labels, "b").select(F.col("a").alias("node"), "label", F.lit(None).cast("string").alias("own"))
         )
+        step = cand.groupBy("node").agg(F.min("label").alias("label"), F.min("own").alias("old"))
         # 2. pointer jumping: a label is itself a node; take its label
         look = step.select(F.col("node").alias("l_node"), F.col("label").alias("l_label"))
-        jumped = step.join(look, step["label"] == look["l_node"], "left").select(
-            "node", F.least("label", F.coalesce("l_label", "label")).alias("label")
-        ).checkpoint()
-        changed = (
-            jumped.join(labels.withColumnRenamed("label", "old"), "node")
-            .filter(F.col("label") != F.col("old"))
-            .limit(1)
-            .count()
+        jumped = (
+            step.join(look, step["label"] == look["l_node"], "left")
+            .select(F.col("node").alias("b"), F.least("label", F.coalesce("l_label", "label")).alias("label"), "old")
+            .repartition(n, "b")
+            .checkpoint()
         )
-        labels = jumped
+        changed = jumped.filter(F.col("label") != F.col("old")).limit(1).count()
+        labels = jumped.drop("old")
         if changed == 0:
-            return labels.withColumnRenamed("label", "component")
+            return labels.select(F.col("b").alias("node"), F.col("label").alias("component"))
     raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
 
 

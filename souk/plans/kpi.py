@@ -38,9 +38,12 @@ def valid_kpi_lines(lines: DataFrame, since: str, as_of: str) -> DataFrame:
     The ``as_of`` bound is applied here (not after ranking) because a
     customer's rank and gap on a day only depend on earlier days; so the
     scan can prune everything after ``as_of``."""
+    # bounds on the raw order timestamp (date >= d <=> ts >= d 00:00), so the
+    # range reaches the parquet scan as a pushed filter
+    ts = F.col("order_ts")
     return lines.filter(
-        (F.col("order_date") >= F.lit(since).cast("date"))
-        & (F.col("order_date") < F.lit(as_of).cast("date"))
+        (ts >= F.lit(since).cast("timestamp_ntz"))
+        & (ts < F.lit(as_of).cast("timestamp_ntz"))
         & F.col("payment_method").isNotNull()
         & (F.col("payment_method").isNotNull() | (F.col("is_paid") == F.lit(True)))
     )
