@@ -121,11 +121,16 @@ def group_rollup(profile: DataFrame, components: DataFrame, customers: DataFrame
         *[F.sum(c).alias(c) for c in SUM_METRICS],
         F.min("first_order_date").alias("first_order_date"),
         F.max("last_order_date").alias("last_order_date"),
-        F.array_distinct(F.flatten(F.collect_list(_abuse_parts("abuse_type")))).alias("_ab"),
     )
-    devices = rows.filter(dev).groupBy("component").agg(
-        F.count(F.lit(1)).alias("linked_device_count"),
-        F.array_distinct(F.flatten(F.collect_list(_abuse_parts("abuse_type")))).alias("_dab"),
+    devices = rows.filter(dev).groupBy("component").agg(F.count(F.lit(1)).alias("linked_device_count"))
+    # abuse labels of every member (device or not): exploded and made
+    # distinct per component first, so only the handful of distinct labels
+    # is ever collected - never one entry per member of a big component
+    labels = (
+        rows.select("component", F.explode(_abuse_parts("abuse_type")).alias("part"))
+        .distinct()
+        .groupBy("component")
+        .agg(F.collect_set("part").alias("_labels"))
     )
     accounts = (
         customers.join(components, KEY, "inner")
@@ -134,8 +139,8 @@ def group_rollup(profile: DataFrame, components: DataFrame, customers: DataFrame
         .groupBy("component")
         .agg(F.count(F.lit(1)).alias("num_of_accounts"))
     )
-    g = non_dev.join(devices, "component", "left").join(accounts, "component", "left")
-    g = g.withColumn("_all", F.array_sort(F.array_distinct(F.concat("_ab", F.coalesce("_dab", F.array().cast("array<string>"))))))
+    g = non_dev.join(devices, "component", "left").join(accounts, "component", "left").join(labels, "component", "left")
+    g = g.withColumn("_all", F.array_sort(F.coalesce("_labels", F.array().cast("array<string>"))))
     return g.select(
         F.concat(F.lit("EG_"), F.col("component")).alias("entity_group_id"),
         "entity_type",
