@@ -16,12 +16,19 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 200_000
 
 
+_SIZE_CHECKS: dict[tuple, bool] = {}
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` only if it has at most ``max_rows`` rows (checked
     with a bounded ``limit(max_rows + 1).count()`` - never a full count of a
-    large table)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    large table).  The decision is remembered per semantically equal plan
+    within the application, so a dimension used by many queries is checked
+    once."""
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    if key not in _SIZE_CHECKS:
+        _SIZE_CHECKS[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if _SIZE_CHECKS[key] else df
 
 
 # ------------------------------------------------------------------ J01

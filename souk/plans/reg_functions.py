@@ -403,17 +403,14 @@ def _refund_amount(spark, d):
     ),
 )
 def _return_qty_capped(spark, d):
-    l = _money_lines(spark, d)
-    least = M.return_qty_capped(l, "least").select(F.col("return_qty").alias("x"))
+    l = _money_lines(spark, d)  # carries return_qty in "coalesce" mode
+    l = M.return_qty_capped(l.withColumnRenamed("return_qty", "rq_coalesce"), "least").withColumnRenamed(
+        "return_qty", "return_qty_least"
+    )
+    l = M.return_qty_capped(l, "clip").withColumnRenamed("return_qty", "return_qty_clip")
     return l.select(
-        "order_code",
-        "variant_id",
-        "product_id",
-        "qty",
-        "total_returns",
-        "return_qty",
-        F.least(F.coalesce("total_returns", "qty"), F.col("qty")).alias("return_qty_least"),
-        F.least("total_returns", "qty").alias("return_qty_clip"),
+        "order_code", "variant_id", "product_id", "qty", "total_returns",
+        F.col("rq_coalesce").alias("return_qty"), "return_qty_least", "return_qty_clip",
     )
 
 

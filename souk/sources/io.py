@@ -163,6 +163,21 @@ def insert_overwrite_table(df: DataFrame, table: str, schema: StructType) -> Non
     conform_schema(df, schema).write.insertInto(table, overwrite=True)
 
 
+# ------------------------------------------------------------------------ S11
+def staged_replace(df: DataFrame, table: str) -> int:
+    """Build the new version under a staging name, then swap it in (drop
+    old, rename staging): readers see either the old or the new table,
+    never a half-written one.  Returns the new row count."""
+    spark = df.sparkSession
+    staging = f"{table}__staging"
+    spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    df.write.mode("overwrite").saveAsTable(staging)
+    n = spark.table(staging).count()
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    return n
+
+
 # ------------------------------------------------------------------------ S10
 def incremental_append(df: DataFrame, path: str, batch_id: int | None = None, partition_by: list[str] | None = None):
     """Append sink.  With a ``batch_id`` the write is idempotent: the batch

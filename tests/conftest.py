@@ -17,7 +17,10 @@ def spark():
         "souk-tests",
         master="local[4]",
         shuffle_partitions=4,
-        extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="souk-test-ckpt-")},
+        extra={
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="souk-test-ckpt-"),
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="souk-test-wh-"),
+        },
     )
     yield s
     s.stop()
