@@ -69,6 +69,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not spark.sparkContext.master.startswith("local"):
+        # a machine-local folder is not visible to other executors
+        raise ValueError("set spark.checkpoint.dir to a shared folder (HDFS/object store) for cluster runs")
     local = tempfile.mkdtemp(prefix="souk-ckpt-", dir=os.environ.get("SOUK_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     return local
