@@ -144,8 +144,9 @@ def journey_class(status) -> Column:
 
 
 # ------------------------------------------------------------------ P13
-def hub_class(hub, hubs: list[str] | None = None) -> Column:
-    return F.when(_c(hub).isin(*(hubs or THREEPL_HUBS)), "3pl").otherwise("cartup")
+def hub_class(hub, hubs: list[str] | None = None, own_label: str = "platform") -> Column:
+    """'3pl' for hubs run by partner carriers, ``own_label`` otherwise."""
+    return F.when(_c(hub).isin(*(hubs or THREEPL_HUBS)), "3pl").otherwise(own_label)
 
 
 # ------------------------------------------------------------------ P14

@@ -113,7 +113,7 @@ def clean_orders(
     payment_col: str = "payment_method",
     category_col: str = "deepest_category",
     seller_col: str = "seller_id",
-    hub_category: str = "cartup hub",
+    hub_category: str = "platform hub",
     internal_seller: int = 1,
 ) -> DataFrame:
     """Risk input cleaning: payment method present; deepest category not a

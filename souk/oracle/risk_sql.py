@@ -38,7 +38,7 @@ base AS (
   SELECT * FROM rb
   WHERE payment_method IS NOT NULL
     AND (deepest_category IS NULL OR NOT regexp_matches(deepest_category, '(?i)\\bpackaging materials?\\b'))
-    AND (deepest_category IS NULL OR lower(trim(deepest_category)) <> 'cartup hub')
+    AND (deepest_category IS NULL OR lower(trim(deepest_category)) <> 'platform hub')
     AND (seller_id IS NULL OR seller_id <> 1)
 ),
 ent_raw AS (

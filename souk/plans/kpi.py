@@ -153,8 +153,9 @@ def daily_kpis(lines: DataFrame, since: str, as_of: str) -> DataFrame:
         .groupBy("order_date")
         .agg(F.count(F.lit(1)).alias("quality_returns"))
     )
-    # per-day frames have one row per calendar day
-    d = day.join(ranked, "order_date", "left").join(quality_day, "order_date", "left")
+    # the per-day side frames hold one row per calendar day in [since, as_of)
+    # - bounded by the date range, not by the data - so they are broadcast
+    d = day.join(F.broadcast(ranked), "order_date", "left").join(F.broadcast(quality_day), "order_date", "left")
     g2n = F.round(
         F.when(F.col("gross_orders") == 0, F.lit(0).cast("decimal(38,18)")).otherwise(
             F.col("delivered_orders").cast("decimal(20,0)") / F.col("gross_orders").cast("decimal(20,0)")

@@ -204,7 +204,11 @@ def _stream_new_files(spark, d):
     schema = T.StructType([T.StructField(c, T.StringType()) for c in ["row_id", "merchant_order_id", "order_status", "partner_name"]])
 
     def handle(batch, batch_id):
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
+        # foreachBatch is at-least-once; writing the batch under its own
+        # batch_id partition (dynamic overwrite) makes a retry replace it
+        from souk.sources.io import incremental_append
+
+        incremental_append(batch, out, batch_id=batch_id)
 
     EV.stream_new_files(spark, folder, schema, handle, scratch(spark, "drop-ckpt"))
     return spark.read.parquet(out).drop("batch_id")

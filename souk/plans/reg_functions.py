@@ -303,13 +303,13 @@ def _weight_category(spark, d):
         ["order_lines"],
         """
 SELECT DISTINCT shipping_city AS destination_hub,
-  CASE WHEN shipping_city IN ('City3', 'City7', '3PL') THEN '3pl' ELSE 'cartup' END AS cartup_3pl
+  CASE WHEN shipping_city IN ('City3', 'City7', '3PL') THEN '3pl' ELSE 'platform' END AS hub_operator
 FROM order_lines""",
     ),
 )
 def _hub_class(spark, d):
     l = tv.order_lines(spark, d).select(F.col("shipping_city").alias("destination_hub")).distinct()
-    return l.select("destination_hub", T.hub_class("destination_hub", ["City3", "City7", "3PL"]).alias("cartup_3pl"))
+    return l.select("destination_hub", T.hub_class("destination_hub", ["City3", "City7", "3PL"]).alias("hub_operator"))
 
 
 @register(

@@ -233,7 +233,9 @@ def stream_new_files(spark: SparkSession, folder: str, schema: T.StructType, fn,
     """Process every new file dropped into ``folder`` once: a file-source
     stream whose micro-batches are handed to ``fn(batch_df, batch_id)``.
     Run with ``availableNow`` for a catch-up pass; a long-running trigger
-    turns it into the folder watcher."""
+    turns it into the folder watcher.  ``foreachBatch`` is at-least-once,
+    so ``fn`` should write idempotently per ``batch_id`` (for example with
+    ``souk.sources.io.incremental_append(df, path, batch_id=...)``)."""
     reader = spark.readStream.schema(schema).option("header", True) if fmt == "csv" else spark.readStream.schema(schema)
     stream = reader.format(fmt).load(folder)
     q = stream.writeStream.foreachBatch(fn).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
