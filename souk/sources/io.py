@@ -30,13 +30,26 @@ def load_table(spark: SparkSession, src: str, name: str) -> DataFrame:
     target = spark.sparkContext.defaultParallelism
     key = (spark.sparkContext.applicationId, path)
     if key not in _SCAN_PARTITIONS:  # split planning is a file listing; do it once
-        _SCAN_PARTITIONS[key] = df.rdd.getNumPartitions()
-    if _SCAN_PARTITIONS[key] < max(2, target // 2):
+        _SCAN_PARTITIONS[key] = (df.rdd.getNumPartitions(), _local_size(path))
+    parts, size = _SCAN_PARTITIONS[key]
+    # small dimensions (a few rows) are not worth a shuffle; only inputs big
+    # enough for per-core work to matter are spread
+    if parts < max(2, target // 2) and size >= SPREAD_MIN_BYTES:
         df = df.repartition(target)
     return df
 
 
-_SCAN_PARTITIONS: dict[tuple, int] = {}
+SPREAD_MIN_BYTES = 2 * 1024 * 1024
+_SCAN_PARTITIONS: dict[tuple, tuple[int, int]] = {}
+
+
+def _local_size(path: str) -> int:
+    """Bytes of a local file or folder; 0 for remote paths (never spread)."""
+    if not os.path.exists(path):
+        return 0
+    if os.path.isfile(path):
+        return os.path.getsize(path)
+    return sum(os.path.getsize(os.path.join(r, f)) for r, _, fs in os.walk(path) for f in fs)
 
 
 def scan_table(
