@@ -120,8 +120,8 @@ ORACLES: dict[str, str] = {
     "op1_block_matrix_neighbours": """
 WITH v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) = len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x)))
-    AND len(list_filter(embedding, x -> x <> 0)) > 0
+  WHERE embedding IS NOT NULL AND len(embedding) = len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)])
+    AND len([x FOR x IN embedding IF x <> 0]) > 0
 ), d AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
