@@ -220,7 +220,8 @@ def labelled(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     named = rows.join(label.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
         "doc_id", "fingerprint", F.coalesce("component", "fingerprint").alias("component")
     )
-    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    # written, so that the join below gets a shuffle of its own, whose hot components adaptive execution can split
+    least = checkpointed(named.groupBy("component").agg(F.min("doc_id").alias("component_id")))
     return named.join(least, "component").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
