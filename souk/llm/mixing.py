@@ -270,6 +270,15 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS)
     return told.withColumn("rate", found.rate(F.col("posterior"))), found
 
 
+def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> tuple[DataFrame, Mix]:
+    """``mix`` without the ``text`` column: the posteriors are written once and read again for the rates."""
+    docs = docs.drop("n_tokens", "posterior", "rate")
+    model = fit(docs, labels)
+    told = checkpointed(with_posteriors(docs, model).drop("text"))
+    found = fit_rates(told.select("n_tokens", "posterior"), model.domains, targets)
+    return told.withColumn("rate", found.rate(F.col("posterior"))), found
+
+
 def keep(rate: Column, doc_id: Column) -> Column:
     """Whether a document with this rate stays when none is repeated: by a hash of its id, so the same on any run."""
     key = F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit("mix"))

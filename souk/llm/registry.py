@@ -25,7 +25,7 @@ def op1_block_matrix_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens, domain posteriors and fitted rate of every document."""
-    docs, fit = mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels"))
+    docs, fit = mixing.rates(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels"))
     p = {f"p_{d}": F.col("posterior")[i] for i, d in enumerate(fit.domains)}
     zero = {f"p_{d}": F.lit(0.0) for d in mixing.TARGETS if f"p_{d}" not in p}
     told = docs.withColumns(p | zero).withColumn("kept", mixing.keep(F.col("rate"), F.col("doc_id")))
