@@ -105,7 +105,7 @@ class Classifier:
         n, p = np.zeros(len(offsets) - 1, np.int64), np.zeros((len(offsets) - 1, len(self.domains)))
         for i, j in pieces(offsets, 1 << 20, 128):
             x, n[i:j] = features(offsets[i : j + 1] - offsets[i], data[offsets[i] : offsets[j]], self.vocabulary)
-            p[i:j] = _softmax(x @ self.weights[:-1] + self.weights[-1])
+            p[i:j] = _softmax((x @ self.weights[:-1] + self.weights[-1]).astype(np.float64))
         return n, p
 
 
