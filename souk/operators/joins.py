@@ -1,9 +1,8 @@
 """Join helpers.
 
-Broadcasting is decided by a measured size: ``broadcast_if_small`` counts
-the candidate side (one cheap job on a small table) and broadcasts it only
-under a row bound; beyond it the join stays a shuffle join (and AQE may
-still switch it at run time from real statistics).
+No side is broadcast by hint: the planner broadcasts what its statistics, or
+adaptive execution's measured sizes, show to be under
+``spark.sql.autoBroadcastJoinThreshold``, and shuffles the rest.
 """
 
 from __future__ import annotations
@@ -11,25 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Row bound under which a dimension is broadcast (about a few MB at the
-# widths used here).
-BROADCAST_MAX_ROWS = 200_000
-
-
-_SIZE_CHECKS: dict[tuple, bool] = {}
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` only if it has at most ``max_rows`` rows (checked
-    with a bounded ``limit(max_rows + 1).count()`` - never a full count of a
-    large table).  The decision is remembered per semantically equal plan
-    within the application, so a dimension used by many queries is checked
-    once."""
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    if key not in _SIZE_CHECKS:
-        _SIZE_CHECKS[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if _SIZE_CHECKS[key] else df
-
 
 # ------------------------------------------------------------------ J01
 def join_inner(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -64,7 +44,7 @@ def dict_map(df: DataFrame, mapping: DataFrame, key: str, map_key: str, value: s
     """One-key lookup with optional default (``map`` + ``fillna``).  The
     mapping must be unique per key (dedupe it first)."""
     m = mapping.select(F.col(map_key).alias("_mk"), F.col(value).alias("_mv"))
-    j = df.join(broadcast_if_small(m), df[key] == F.col("_mk"), "left")
+    j = df.join(m, df[key] == F.col("_mk"), "left")
     v = F.col("_mv") if default is None else F.coalesce(F.col("_mv"), F.lit(default))
     return j.withColumn(out, v).drop("_mk", "_mv")
 

@@ -61,7 +61,7 @@ LIMITS = f"""s_all AS (
          CASE WHEN r_regionkey = 4 THEN 'two' ELSE CAST(r_regionkey % 3 + 1 AS VARCHAR) END AS lim FROM region
   UNION ALL
   SELECT 1, n_nationkey, 'SALE' || CAST(n_nationkey AS VARCHAR), CAST(n_nationkey + 2 AS VARCHAR)
-  FROM nation WHERE n_nationkey < 2
+  FROM nation
   UNION ALL
   SELECT 2, 0, name, CAST(v AS VARCHAR) FROM (VALUES {", ".join(f"('{k}', {v})" for k, v in VOUCHER_LIMIT_OVERRIDES.items())}) t(name, v)
 ),
@@ -74,7 +74,7 @@ vlim AS (
 slim AS (
   SELECT CAST(n_nationkey AS BIGINT) AS template_id,
     CASE WHEN n_nationkey % 3 = 0 THEN 10 ELSE n_nationkey * 3 END AS "limit"
-  FROM nation WHERE n_nationkey < 7
+  FROM nation
 )"""
 
 VOUCHER = """vc AS (

@@ -12,12 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from souk.operators.joins import broadcast_if_small
 
 
 def category_tree(category: DataFrame, industries: DataFrame, depth: int = 6) -> DataFrame:
     cat = category.select("id", "parent_id", "industry_id", "name")
-    kids = broadcast_if_small(cat)
+    kids = (cat)
     level = cat.filter(F.col("parent_id").isNull()).select(
         F.col("id").alias("node_id"), F.col("industry_id").alias("node_industry"), F.col("name").alias("cat1")
     )
@@ -36,7 +35,7 @@ def category_tree(category: DataFrame, industries: DataFrame, depth: int = 6) ->
             F.coalesce("_ind", "node_industry").alias("node_industry"),
         )
     cats = [f"cat{k}" for k in range(1, depth + 1)]
-    ind = broadcast_if_small(industries.select(F.col("id").alias("_vid"), F.col("name").alias("vertical")))
+    ind = (industries.select(F.col("id").alias("_vid"), F.col("name").alias("vertical")))
     out = level.join(ind, level["node_industry"] == ind["_vid"], "left")
     return out.select(
         "vertical",

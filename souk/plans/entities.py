@@ -26,7 +26,6 @@ from souk.functions import money as M
 from souk.functions import text as X
 from souk.operators.dedupe import asc, first_per_key
 from souk.operators.filters import clean_entity, filter_valid_orders
-from souk.operators.joins import broadcast_if_small
 
 KEY = ["entity_type", "entity"]
 DEC = "decimal(18,2)"
@@ -92,7 +91,7 @@ def risk_lines(lines: DataFrame, tree: DataFrame | None = None) -> DataFrame:
     out = M.shipping_allocation(M.voucher_allocation(lines))
     if tree is not None:
         t = tree.select("category_id", "vertical", "cat1", "deepest_category")
-        out = out.join(broadcast_if_small(t), "category_id", "left")
+        out = out.join((t), "category_id", "left")
     return out.withColumns(
         {
             "phone": X.fix_phone("phone"),
@@ -219,7 +218,7 @@ def voucher_limits(sheets: list[DataFrame], overrides: dict[str, int] | None = N
     for p in parts[1:]:
         allrows = allrows.unionByName(p)
     allrows = allrows.withColumn(
-        "limit", F.when(F.col("_lim").rlike(r"^\d+$"), F.col("_lim").cast("int")).otherwise(F.lit(default))
+        "limit", F.when(F.col("_lim").rlike(r"^\d+$"), F.col("_lim").try_cast("int")).otherwise(F.lit(default))
     ).drop("_lim")
     if overrides:
         spark = allrows.sparkSession
@@ -235,7 +234,7 @@ def voucher_abuse(lines: DataFrame, limits: DataFrame, min_accounts: int = 5, de
     """Voucher abuse per entity (see module doc)."""
     e = entity_union(filter_valid_orders(lines)).withColumn("voucher_code", F.trim("voucher_code"))
     cc = _code_counts(e, "voucher_code")
-    lim = broadcast_if_small(limits.select(F.col("code").alias("voucher_code"), "limit"))
+    lim = (limits.select(F.col("code").alias("voucher_code"), "limit"))
     cc = cc.join(lim, "voucher_code", "left").withColumn("limit", F.coalesce("limit", F.lit(default_limit)))
     code = F.col("voucher_code")
     apg = code.startswith("APG") | code.startswith("APH")
@@ -291,7 +290,7 @@ def shipping_abuse(lines: DataFrame, limits: DataFrame, min_accounts: int = 5, d
     not (as in the source)."""
     e = entity_union(filter_valid_orders(lines))
     cc = _code_counts(e, "free_shipping_id").filter(F.col("free_shipping_id") != 0)
-    lim = broadcast_if_small(limits.select(F.col("template_id").alias("free_shipping_id"), "limit"))
+    lim = (limits.select(F.col("template_id").alias("free_shipping_id"), "limit"))
     cc = cc.join(lim, "free_shipping_id", "left").withColumn("limit", F.coalesce("limit", F.lit(default_limit)))
     over = F.col("cnt") > F.col("limit")
     g = cc.groupBy(*KEY).agg(
@@ -311,11 +310,11 @@ def shipping_abuse(lines: DataFrame, limits: DataFrame, min_accounts: int = 5, d
 
 
 def shipping_limits(sheet: DataFrame, default: int = 10) -> DataFrame:
-    """Template id -> per-user limit (non-digit -> ``default``)."""
+    """Template id -> per-user limit (non-digit -> ``default``); an id that is no number is NULL."""
     lim = F.trim(F.col("per_user").cast("string"))
     return sheet.select(
-        F.trim(F.col("template_id").cast("string")).cast("bigint").alias("template_id"),
-        F.when(lim.rlike(r"^\d+$"), lim.cast("int")).otherwise(F.lit(default)).alias("limit"),
+        F.trim(F.col("template_id").cast("string")).try_cast("bigint").alias("template_id"),
+        F.when(lim.rlike(r"^\d+$"), lim.try_cast("int")).otherwise(F.lit(default)).alias("limit"),
     )
 
 

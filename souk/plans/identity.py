@@ -24,7 +24,7 @@ from souk.plans.entities import KEY
 DEVICE = "DeviceID"
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """``edges(src, dst)`` (strings) -> ``(node, component)`` where the
     component is the smallest node id of the node's component."""
     from souk.session import ensure_checkpoint_dir
@@ -45,7 +45,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     )
     nodes = edges.select(F.col("src").alias("node")).unionByName(edges.select(F.col("dst").alias("node"))).distinct()
     labels = nodes.select(F.col("node").alias("b"), F.col("node").alias("label")).repartition(n, "b").checkpoint()
-    for _ in range(max_rounds):
+    while True:
         # 1. new label = min(own label, neighbours' labels); one map-side
         #    combined aggregate (a hub node costs one partial min per task)
         cand = labels.select(F.col("b").alias("node"), "label", F.col("label").alias("own")).unionByName(
@@ -64,7 +64,6 @@ def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
         labels = jumped.drop("old")
         if changed == 0:
             return labels.select(F.col("b").alias("node"), F.col("label").alias("component"))
-    raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
 
 
 def entity_node(type_col: str = "entity_type", entity_col: str = "entity"):
@@ -72,12 +71,12 @@ def entity_node(type_col: str = "entity_type", entity_col: str = "entity"):
 
 
 # ------------------------------------------------------------------ C11
-def entity_components(customers: DataFrame, address_phones: DataFrame, max_rounds: int = 64) -> DataFrame:
+def entity_components(customers: DataFrame, address_phones: DataFrame) -> DataFrame:
     """(entity_type, entity, component) over links by shared customer ids
     and by shared phones written in addresses."""
     e1 = customers.select(entity_node().alias("src"), F.concat(F.lit("C:"), F.col("customer_id").cast("string")).alias("dst"))
     e2 = address_phones.select(entity_node().alias("src"), F.concat(F.lit("P:"), F.col("phone_from_address")).alias("dst"))
-    cc = connected_components(e1.unionByName(e2), max_rounds)
+    cc = connected_components(e1.unionByName(e2))
     ents = customers.select(*KEY).unionByName(address_phones.select(*KEY)).distinct()
     return ents.withColumn("node", entity_node()).join(cc, "node").drop("node")
 

@@ -162,7 +162,7 @@ def _incremental_append(spark, d):
 def _stream_enrich(spark, d):
     src = scratch(spark, "events-src")
     raw = _raw(spark, d).withColumn("_day", F.coalesce(F.substring("event_timestamp", 1, 10), F.lit("none")))
-    raw.repartition("_day").write.partitionBy("_day").parquet(src)
+    raw.repartition("_day", F.pmod(F.xxhash64("user_id", "event_timestamp"), F.lit(4))).write.partitionBy("_day").parquet(src)
     out, ck = scratch(spark, "events-out"), scratch(spark, "events-ckpt")
     EV.stream_enrich(spark, src, tv.catalog(spark, d), out, ck)
     return spark.read.parquet(out).select(

@@ -268,8 +268,8 @@ def _join_roles(spark, d):
         "order_code", "variant_id", "category_id", (F.col("customer_id") % 25 + 100).alias("dest_id")
     )
     cats = tv.categories(spark, d)
-    l = JN.role_join(l, JN.broadcast_if_small(cats), "category_id", "id", {"name": "source_hub"})
-    l = JN.role_join(l, JN.broadcast_if_small(cats), "dest_id", "id", {"name": "destination_hub"})
+    l = JN.role_join(l, (cats), "category_id", "id", {"name": "source_hub"})
+    l = JN.role_join(l, (cats), "dest_id", "id", {"name": "destination_hub"})
     return l.select("order_code", "variant_id", "source_hub", "destination_hub")
 
 
@@ -368,7 +368,7 @@ WHERE l.payment_method IS NOT NULL
 )
 def _clean_orders(spark, d):
     t = _tree(spark, d).select("category_id", "deepest_category")
-    l = tv.order_lines(spark, d).join(JN.broadcast_if_small(t), "category_id", "left")
+    l = tv.order_lines(spark, d).join((t), "category_id", "left")
     out = FL.clean_orders(l, hub_category="supplier#000000007")
     return out.select("order_code", "variant_id", "seller_id", "deepest_category")
 

@@ -21,10 +21,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Floor for AQE partition coalescing.  Small shuffles that are CPU-heavy
-    # (wide decimal aggregates) keep several tasks instead of collapsing to
-    # one; large jobs have partitions far above this floor and are unaffected.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

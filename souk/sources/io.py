@@ -8,7 +8,6 @@ reference's row-by-row fallbacks).
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,38 +17,8 @@ from pyspark.sql.types import StructType
 
 # --------------------------------------------------------------------- S01/S02
 def load_table(spark: SparkSession, src: str, name: str) -> DataFrame:
-    """Parquet table ``{src}/{name}.parquet`` (tests) - lazy scan.
-
-    A scan split into fewer partitions than the cluster's default
-    parallelism (a small table written as one row group) would run every
-    operator fused into its stage on a single core; such a scan is spread
-    round-robin.  Column pruning and filters still reach the scan below the
-    repartition.  A large table has many row groups and is left as is."""
-    path = os.path.join(src, f"{name}.parquet")
-    df = spark.read.parquet(path)
-    target = spark.sparkContext.defaultParallelism
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _SCAN_PARTITIONS:  # split planning is a file listing; do it once
-        _SCAN_PARTITIONS[key] = (df.rdd.getNumPartitions(), _local_size(path))
-    parts, size = _SCAN_PARTITIONS[key]
-    # small dimensions (a few rows) are not worth a shuffle; only inputs big
-    # enough for per-core work to matter are spread
-    if parts < max(2, target // 2) and size >= SPREAD_MIN_BYTES:
-        df = df.repartition(target)
-    return df
-
-
-SPREAD_MIN_BYTES = 2 * 1024 * 1024
-_SCAN_PARTITIONS: dict[tuple, tuple[int, int]] = {}
-
-
-def _local_size(path: str) -> int:
-    """Bytes of a local file or folder; 0 for remote paths (never spread)."""
-    if not os.path.exists(path):
-        return 0
-    if os.path.isfile(path):
-        return os.path.getsize(path)
-    return sum(os.path.getsize(os.path.join(r, f)) for r, _, fs in os.walk(path) for f in fs)
+    """Parquet table ``{src}/{name}.parquet`` - lazy scan, split by the session's file settings."""
+    return spark.read.parquet(f"{src}/{name}.parquet")
 
 
 def scan_table(
@@ -165,24 +134,45 @@ def partner_union(frames: dict[str, DataFrame], label: str = "source") -> DataFr
 def overwrite_verify(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None):
     """Full-replace sink with row-count verification.
 
-    Returns ``(initial_rows, expected_rows, final_rows, ok)``.  The count of
-    the frame and of the read-back table are separate jobs; the write is an
-    atomic directory commit so a failed job leaves the previous version.
+    Returns ``(initial_rows, expected_rows, final_rows, ok)``.  The new
+    version is written and counted in a folder of its own beside ``path``
+    and takes the place of the old one only if the counts agree; a job that
+    fails, or a count that is off, leaves the old version as it was.  A
+    missing target counts as 0 rows, any other failure to read it is raised.
     """
     spark = df.sparkSession
-    initial = 0
-    try:
-        initial = spark.read.format(fmt).load(path).count()
-    except Exception:  # noqa: BLE001 - missing target is the first run
-        initial = 0
+    fs, target = _file_system(spark, path)
+    staged, before = f"{path.rstrip('/')}__new", f"{path.rstrip('/')}__old"
+    initial = spark.read.format(fmt).load(path).count() if fs.exists(target) else 0
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
-    final = spark.read.format(fmt).load(path)
+    writer.save(staged)
+    final = spark.read.format(fmt).schema(df.schema).load(staged).count()
     expected = df.count()
-    final_rows = final.count()
-    return initial, expected, final_rows, expected == final_rows
+    if expected == final:
+        _publish(spark, staged, path, before)
+    return initial, expected, final, expected == final
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def _publish(spark: SparkSession, staged: str, path: str, before: str) -> None:
+    """Puts ``staged`` at ``path``; the old version comes back if that fails."""
+    fs, target = _file_system(spark, path)
+    new, old = _file_system(spark, staged)[1], _file_system(spark, before)[1]
+    fs.delete(old, True)
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"{path} cannot be moved aside")
+    if not fs.rename(new, target):
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"{staged} cannot be published as {path}")
+    fs.delete(old, True)
 
 
 def insert_overwrite_table(df: DataFrame, table: str, schema: StructType) -> None:
@@ -195,37 +185,36 @@ def insert_overwrite_table(df: DataFrame, table: str, schema: StructType) -> Non
 
 # ------------------------------------------------------------------------ S11
 def staged_replace(df: DataFrame, table: str) -> int:
-    """Build the new version under a staging name, then swap it in (drop
-    old, rename staging): readers see either the old or the new table,
-    never a half-written one.  Returns the new row count."""
+    """Replaces the rows behind the view ``table`` without a gap.
+
+    The new version is a table of its own; the view is redefined to read it
+    in one catalog operation, so a reader sees the old rows or the new
+    ones.  A failed write leaves the view as it was.  The version before
+    stays for readers that have begun, older ones are dropped.  Returns the
+    new row count."""
     spark = df.sparkSession
-    staging = f"{table}__staging"
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    df.write.mode("overwrite").saveAsTable(staging)
-    n = spark.table(staging).count()
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    stem = f"{table}__v"
+    base = table.rpartition(".")[2] + "__v"
+    versions = sorted(int(t.name[len(base) :]) for t in spark.catalog.listTables() if t.name.startswith(base) and t.name[len(base) :].isdigit())
+    new = f"{stem}{(versions[-1] if versions else 0) + 1}"
+    df.write.mode("errorifexists").saveAsTable(new)
+    n = spark.table(new).count()
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {new}")
+    for old in versions[:-1]:
+        spark.sql(f"DROP TABLE IF EXISTS {stem}{old}")
     return n
 
 
 # ------------------------------------------------------------------------ S10
-def incremental_append(df: DataFrame, path: str, batch_id: int | None = None, partition_by: list[str] | None = None):
+def incremental_append(df: DataFrame, path: str, batch_id: int | str | None = None, partition_by: list[str] | None = None):
     """Append sink.  With a ``batch_id`` the write is idempotent: the batch
-    goes to its own ``batch_id=`` partition which is replaced on retry."""
+    is the folder ``batch_id=...`` of its own, which a retry replaces as a
+    whole, also by no rows.  Ids must name a batch across all runs."""
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     if batch_id is None:
-        w = df.write.mode("append")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        return
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        cols = ["batch_id"] + (partition_by or [])
-        df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").partitionBy(*cols).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        writer.mode("append").parquet(path)
+    else:
+        writer.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
 # ------------------------------------------------------------------------ S12
@@ -251,11 +240,14 @@ def null_audit(df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------------ S16
-def write_event_layout(df: DataFrame, path: str, date_col: str = "event_date", sort_cols: list[str] | None = None):
+def write_event_layout(df: DataFrame, path: str, date_col: str = "event_date", sort_cols: list[str] | None = None,
+                       tasks_per_day: int = 8):
     """Physical layout replacing the reference's post-load indexes:
     date-partitioned files, rows sorted within each file by the look-up
     columns so parquet min/max statistics skip row groups."""
-    out = df.repartition(date_col)
+    # several tasks for a day with many rows, by hash so that a retried task writes the same rows
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(tasks_per_day))
+    out = df.repartition(F.col(date_col), spread)
     if sort_cols:
         out = out.sortWithinPartitions(*sort_cols)
     out.write.mode("append").partitionBy(date_col).parquet(path)

@@ -13,8 +13,7 @@ chunks with retries.  Here:
   catalog and an exactly-once parquet sink; the checkpoint replaces the
   watermark bookkeeping.
 
-Catalog joins are broadcast only after a size check (``broadcast_if_small``);
-a catalog too large to broadcast stays a shuffle join.
+Whether a catalog side is broadcast is left to the planner's measured sizes.
 """
 
 from __future__ import annotations
@@ -25,7 +24,6 @@ from pyspark.sql import types as T
 
 from souk.functions.text import extract_id
 from souk.operators.dedupe import asc, first_per_key
-from souk.operators.joins import broadcast_if_small
 
 ATTRS = ["vertical", "cat1", "deepest_category", "shop_name", "seller_code", "product_link"]
 
@@ -79,10 +77,10 @@ def event_enrich(raw: DataFrame, products: DataFrame, variants: DataFrame) -> Da
     the vertical is still NULL - from the variant.  Rows with neither id
     are dropped."""
     ev = parse_events(raw)
-    v = broadcast_if_small(
+    v = (
         variants.select(F.col("vid").alias("_vid"), F.col("pid").alias("_vpid"), *[F.col(a).alias(f"v_{a}") for a in ATTRS])
     )
-    p = broadcast_if_small(products.select(F.col("pid").alias("_pid"), *[F.col(a).alias(f"p_{a}") for a in ATTRS]))
+    p = (products.select(F.col("pid").alias("_pid"), *[F.col(a).alias(f"p_{a}") for a in ATTRS]))
     j = ev.join(v, ev["vid"] == v["_vid"], "left")
     j = j.withColumn("pid", F.when(F.col("pid").isNull() & F.col("vid").isNotNull(), F.col("_vpid")).otherwise(F.col("pid")))
     j = j.join(p, j["pid"] == p["_pid"], "left")
@@ -156,13 +154,15 @@ def windows(lo: str, hi: str, hours: int):
 def incremental_append(raw: DataFrame, products: DataFrame, variants: DataFrame, path: str, lo: str, hi: str,
                        window_hours: int = 24) -> int:
     """Load ``(lo, hi]`` window by window into ``path``; each window is its
-    own ``batch_id`` partition written with dynamic partition overwrite, so
-    re-running a window is idempotent.  Returns the number of windows."""
+    own ``batch_id`` folder, named by the window's start, so later runs add
+    to it and re-running a window replaces just that window (also by no
+    rows).  Returns the number of windows."""
     from souk.sources.io import incremental_append as append
 
     ws = windows(lo, hi, window_hours)
-    for i, (a, b) in enumerate(ws):
-        append(event_enrich(window_slice(raw, a, b), products, variants), path, batch_id=i)
+    for a, b in ws:
+        batch = "from-" + "".join(c if c.isdigit() else "-" for c in a)
+        append(event_enrich(window_slice(raw, a, b), products, variants), path, batch_id=batch)
     return len(ws)
 
 
