@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from souk.oracle.helpers import MONEY_CTES, rround
+from souk.oracle.orders_sql import category_tree_ctes
 from souk.oracle.views import with_views
 
 QUALITY = [
@@ -72,17 +73,20 @@ def _cohort_select() -> str:
     return cols
 
 
-def daily_kpis_sql(since: str, as_of: str) -> str:
+def daily_kpis_sql(since: str, as_of: str, bikes: list[str]) -> str:
+    no_bike = "cat3 NOT IN (" + ", ".join(f"'{b}'" for b in bikes) + ")"
     body = f"""
-WITH m0 AS (
+WITH {category_tree_ctes()},
+m0 AS (
   SELECT *, SUM(CASE WHEN is_failed_delivery = FALSE AND is_qc = TRUE THEN return_qty_raw END) OVER (PARTITION BY order_code, variant_id) AS total_returns
   FROM ({_valid(since, as_of)})
 ),
 {MONEY_CTES},
 cm AS (
   SELECT *,
-    (seller_shipping + platform_shipping = 0 AND seller_discount + platform_discount = 0) AS non_assisted
-  FROM m4
+    (seller_shipping + platform_shipping = 0 AND seller_discount + platform_discount = 0) AS non_assisted,
+    CASE WHEN is_consignment THEN 'Consignment' WHEN shop_name = 'Retail' THEN 'Retail' ELSE 'MarketPlace' END AS fulfillment
+  FROM m4 LEFT JOIN (SELECT category_id AS tree_category_id, cat3 FROM tree) ON category_id = tree_category_id
 ),
 ranked AS ({_ranked(since, as_of)}),
 user_type AS (
@@ -104,7 +108,26 @@ agg AS (
     SUM(qty) AS total_items,
     COUNT(DISTINCT customer_id) AS total_buyers,
     COUNT(DISTINCT CASE WHEN non_assisted THEN customer_id END) AS non_assisted_buyers,
-    COALESCE(COUNT(DISTINCT CASE WHEN seller_id = 2 THEN customer_id END), 0) AS retail_buyers,
+    COALESCE(COUNT(DISTINCT CASE WHEN seller_code = 'B2B' THEN customer_id END), 0) AS b2b_buyer,
+    COALESCE(COUNT(DISTINCT CASE WHEN seller_id = 2 THEN customer_id END), 0) AS retail_buyer,
+    COALESCE(COUNT(DISTINCT CASE WHEN fulfillment = 'Retail' THEN product_id END), 0) AS gross_fbc_items,
+    COALESCE(SUM(CASE WHEN seller_code IS NULL THEN total_price END), 0) AS b2b_gmv,
+    COALESCE(COUNT(DISTINCT CASE WHEN seller_id = NULL THEN customer_id END), 0) AS b2b_buyers,
+    SUM(COALESCE(seller_discount, 0) + COALESCE(platform_discount, 0) + COALESCE(seller_shipping, 0)
+        + COALESCE(platform_shipping, 0)) AS customer_subsidy,
+    SUM(COALESCE(platform_shipping, 0)) AS platform_shipping_subsidy,
+    SUM(COALESCE(seller_shipping, 0)) AS seller_shipping_subsidy,
+    COALESCE(SUM(CASE WHEN seller_id = 2 THEN platform_discount END), 0) AS retail_platform_discount,
+    COALESCE(SUM(CASE WHEN seller_id = 2 THEN platform_shipping END), 0) AS retail_platform_shipping,
+    SUM(CASE WHEN {no_bike} THEN total_price END) AS gmv_without_bikes,
+    COALESCE(SUM(CASE WHEN free_shipping_is_admin IS NOT NULL AND {no_bike} THEN total_price END), 0) AS free_shipping_gmv,
+    COALESCE(SUM(CASE WHEN voucher_code IS NOT NULL AND {no_bike} THEN total_price END), 0) AS voucher_gmv,
+    COALESCE(SUM(CASE WHEN fulfillment = 'Consignment' THEN total_price ELSE 0 END), 0) AS consignment_gmv,
+    COUNT(DISTINCT CASE WHEN fulfillment = 'Consignment' THEN order_code END) AS consignment_orders,
+    COUNT(DISTINCT CASE WHEN fulfillment = 'Consignment' THEN customer_id END) AS consignment_buyer,
+    COALESCE(SUM(CASE WHEN fulfillment = 'Consignment' THEN qty ELSE 0 END), 0) AS consignment_items,
+    COUNT(DISTINCT order_code) AS created_orders,
+    COUNT(DISTINCT customer_id) AS buyers,
     SUM(total_price) AS total_gmv,
     COALESCE(SUM(CASE WHEN non_assisted THEN total_price END), 0) AS non_assisted_gmv,
     SUM(platform_shipping + platform_discount + seller_shipping + seller_discount) AS total_subsidy,
@@ -149,8 +172,10 @@ SELECT strftime(a.order_date, '%Y-%m-%d') AS order_date,
   CAST(u.returning_buyers AS BIGINT) AS returning_buyers,
   non_assisted_buyers,
   total_buyers - non_assisted_buyers AS assisted_buyers,
-  retail_buyers,
-  CAST(0 AS BIGINT) AS b2b_buyers,
+  b2b_buyer, retail_buyer, gross_fbc_items, b2b_buyers, retail_buyer AS retail_buyers,
+  {_doubles("b2b_gmv", "customer_subsidy", "platform_shipping_subsidy", "seller_shipping_subsidy", "retail_platform_discount",
+            "retail_platform_shipping", "gmv_without_bikes", "free_shipping_gmv", "voucher_gmv", "consignment_gmv")},
+  consignment_orders, consignment_buyer, CAST(consignment_items AS BIGINT) AS consignment_items, created_orders, buyers,
   CAST(total_gmv AS DOUBLE) AS total_gmv,
   CAST(non_assisted_gmv AS DOUBLE) AS non_assisted_gmv,
   CAST(total_gmv - non_assisted_gmv AS DOUBLE) AS assisted_gmv,
@@ -174,7 +199,11 @@ FROM agg a
 LEFT JOIN user_type u ON a.order_date = u.order_date
 LEFT JOIN cohort c ON a.order_date = c.order_date
 """
-    return with_views(["order_lines"], body)
+    return with_views(["order_lines", "categories", "industries"], body)
+
+
+def _doubles(*cols: str) -> str:
+    return ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
 
 
 def new_returning_sql(since: str, as_of: str) -> str:

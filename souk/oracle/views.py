@@ -17,6 +17,9 @@ SELECT
   CAST(o.o_orderdate AS DATE) AS order_date,
   o.o_custkey AS customer_id,
   l.l_suppkey AS seller_id,
+  CASE WHEN l.l_suppkey % 10 = 3 THEN 'B2B' WHEN l.l_suppkey % 10 <> 4 THEN 'S' || CAST(l.l_suppkey AS VARCHAR) END AS seller_code,
+  CASE WHEN l.l_suppkey = 2 THEN 'Retail' ELSE 'Shop ' || CAST(l.l_suppkey % 50 AS VARCHAR) END AS shop_name,
+  (l.l_partkey % 9 = 0) AS is_consignment,
   l.l_partkey AS product_id,
   l.l_linenumber AS variant_id,
   l.l_suppkey + 1000 AS category_id,
@@ -33,6 +36,8 @@ SELECT
   CASE WHEN o.o_orderkey % 11 = 2 THEN CAST(2 AS BIGINT) END AS voucher_seller_id,
   o.o_orderkey % 7 AS free_shipping_id,
   CASE WHEN o.o_orderkey % 7 = 0 THEN NULL ELSE (o.o_orderkey % 7) % 2 = 1 END AS free_shipping_is_admin,
+  CASE WHEN o.o_orderkey % 7 <> 0 THEN CAST(o.o_orderkey % 7 * 10 AS DECIMAL(18,2)) END AS admin_percent,
+  CASE WHEN o.o_orderkey % 7 <> 0 THEN CAST(100 - o.o_orderkey % 7 * 10 AS DECIMAL(18,2)) END AS seller_percent,
   CASE o.o_orderpriority WHEN '1-URGENT' THEN 'CARD' WHEN '2-HIGH' THEN 'BKASH'
        WHEN '3-MEDIUM' THEN 'COD' WHEN '5-LOW' THEN 'COD' END AS payment_method,
   (o.o_orderstatus = 'F' OR o.o_orderpriority IN ('1-URGENT', '2-HIGH')) AS is_paid,

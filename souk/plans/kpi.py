@@ -6,14 +6,14 @@ would make Spark expand every line once per distinct expression.  Here
 each distinct count is turned into a plain count at the grain it is
 distinct over:
 
-  lines --(order, seller)--> seller-order rows --(order)--> order rows
-        --(date, customer)--> buyer-day rows --(date)--> KPI row
-
-The first two groupings are keyed by the order code, which is how the
-lines are already hash-partitioned after the lineitem/orders join, so
-they plan without a shuffle.  Each later grain is smaller than the one
-before; the final per-day frames have one row per calendar day (bounded
-by the date range) and are joined on the day.
+  lines --(order)--> order rows --(date, customer)--> buyer-day rows
+        --(date)--> KPI row
+
+Every grain is smaller than the one before.  A buyer's rank and gap are
+windows on the buyer-day rows themselves, so new and returning buyers and
+the gap buckets need no second pass.  Only the two counts that are
+distinct within a day (return quantities, retail products) go over the
+lines once more, with the few columns they need.
 """
 
 from __future__ import annotations
@@ -30,6 +30,9 @@ DEC = "decimal(18,2)"
 # Reasons counted as seller-caused cancellations.
 SELLER_CANCEL_REASONS = ["Out of stock", "Sourcing delay", "Wrong price"]
 RETAIL_SELLER_ID = 2
+B2B_SELLER_CODE = "B2B"
+# Level-3 categories left out of the GMV without bikes.
+BIKE_CATEGORIES = ["Standard Bikes", "Scooters"]
 
 
 def valid_kpi_lines(lines: DataFrame, since: str, as_of: str) -> DataFrame:
@@ -62,12 +65,39 @@ def _z(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(0))
 
 
-def _cnt(cond: Column) -> Column:
-    return F.count_if(F.coalesce(cond, F.lit(False)))
+def fulfillment_by(retail_shops) -> Column:
+    """Consignment stock first, then the own retail shops, else the marketplace."""
+    return (
+        F.when(F.col("is_consignment") == F.lit(True), F.lit("Consignment"))
+        .when(F.col("shop_name").isin(*retail_shops), F.lit("Retail"))
+        .otherwise(F.lit("MarketPlace"))
+    )
+
+
+# What a KPI row sums over lines: (output, 0 for days without any such line).
+SUMS = [
+    ("items", False), ("gmv", False), ("non_assisted_gmv", True), ("subsidy", False), ("b2b_gmv", True), ("retail_gmv", True),
+    ("customer_subsidy", False), ("platform_subsidy", False), ("seller_subsidy", False), ("shipping_subsidy", False),
+    ("platform_shipping_subsidy", False), ("seller_shipping_subsidy", False), ("customer_shipping", False),
+    ("platform_discount", False), ("retail_platform_discount", True), ("retail_platform_shipping", True),
+    ("gmv_without_bikes", False), ("free_shipping_gmv", True), ("voucher_gmv", True), ("retail_items", True), ("nmv", False),
+    ("rmv", False), ("nis", False), ("consignment_gmv", True), ("consignment_items", True), ("retail_nmv", False),
+]
+# Conditions that hold for an order if they hold for one of its lines.
+FLAGS = ["delivered", "non_assisted", "nos", "retail_nos", "failed", "crm", "retail", "b2b", "consignment"]
+
 
+def daily_kpis(
+    lines: DataFrame, tree: DataFrame, since: str, as_of: str, retail_shops=("Retail",), bike_categories=BIKE_CATEGORIES
+) -> DataFrame:
+    """The daily KPI row with all its outputs.
 
-def daily_kpis(lines: DataFrame, since: str, as_of: str) -> DataFrame:
-    base = with_returns(valid_kpi_lines(lines, since, as_of))
+    ``tree`` is the category tree (``cat3`` per category).  The source also
+    prints two blank separator columns and the day once more; a frame has
+    no use for them.  ``b2b_buyers`` compares with NULL there and is always
+    0; ``b2b_buyer`` counts the buyers of the B2B seller code.
+    """
+    base = with_returns(valid_kpi_lines(lines, since, as_of)).join(tree.select("category_id", "cat3"), "category_id", "left")
     no_subsidy = (
         (F.col("seller_shipping") + F.col("platform_shipping") == 0)
         & (F.col("seller_discount") + F.col("platform_discount") == 0)
@@ -75,6 +105,9 @@ def daily_kpis(lines: DataFrame, since: str, as_of: str) -> DataFrame:
     delivered = F.col("customer_status") == "Delivered"
     failed = F.col("is_failed_delivery")
     retail = F.col("seller_id") == RETAIL_SELLER_ID
+    fulfillment = fulfillment_by(retail_shops)
+    consignment = fulfillment == "Consignment"
+    no_bike = ~F.col("cat3").isin(*bike_categories)  # an unknown category counts nowhere
     nos = (failed.isNull() | (failed == F.lit(False))) & delivered
     cancelled = failed.isNull() & F.col("cancel_reason").isNotNull()
     seller_cancelled = failed.isNull() & F.col("cancel_reason").isin(*SELLER_CANCEL_REASONS)
@@ -83,168 +116,199 @@ def daily_kpis(lines: DataFrame, since: str, as_of: str) -> DataFrame:
         & (F.coalesce(failed, F.lit(False)) == F.lit(False))
         & quality_return_predicate(F.col("return_reason"))
     )
-    price = F.col("total_price")
-
-    # order grain - keys contain the order code, which is how the lines are
-    # already partitioned: no exchange.  Per-order sets (sellers, return
-    # quantities) are bounded by the lines of one order.
+    price, qty = F.col("total_price"), F.col("qty")
+    flag = {
+        "delivered": delivered,
+        "non_assisted": no_subsidy,
+        "nos": nos,
+        "retail_nos": nos & retail,
+        "failed": failed == F.lit(True),
+        "crm": F.col("is_crm_confirm"),
+        "retail": retail,
+        "b2b": F.col("seller_code") == B2B_SELLER_CODE,
+        "consignment": consignment,
+    }
+    value = {
+        "items": qty,
+        "gmv": price,
+        "non_assisted_gmv": F.when(no_subsidy, price),
+        "subsidy": F.col("platform_shipping") + F.col("platform_discount") + F.col("seller_shipping") + F.col("seller_discount"),
+        "b2b_gmv": F.when(F.col("seller_code").isNull(), price),
+        "retail_gmv": F.when(retail, price),
+        "customer_subsidy": _z("seller_discount") + _z("platform_discount") + _z("seller_shipping") + _z("platform_shipping"),
+        "platform_subsidy": _z("platform_discount") + _z("platform_shipping"),
+        "seller_subsidy": _z("seller_discount") + _z("seller_shipping"),
+        "shipping_subsidy": _z("seller_shipping") + _z("platform_shipping"),
+        "platform_shipping_subsidy": _z("platform_shipping"),
+        "seller_shipping_subsidy": _z("seller_shipping"),
+        "customer_shipping": _z("customer_shipping"),
+        "platform_discount": _z("platform_discount"),
+        "retail_platform_discount": F.when(retail, F.col("platform_discount")),
+        "retail_platform_shipping": F.when(retail, F.col("platform_shipping")),
+        "gmv_without_bikes": F.when(no_bike, price),
+        # the order's free-shipping row was found just if its admin flag is known
+        "free_shipping_gmv": F.when(F.col("free_shipping_is_admin").isNotNull() & no_bike, price),
+        "voucher_gmv": F.when(F.col("voucher_code").isNotNull() & no_bike, price),
+        "retail_items": F.when(retail, qty),
+        "nmv": F.when(delivered, price),
+        "rmv": F.when((failed == F.lit(False)) & (F.col("is_qc") == F.lit(True)), F.col("refund_amount")),
+        "nis": F.when(delivered, qty),
+        "consignment_gmv": F.when(consignment, price),
+        "consignment_items": F.when(consignment, qty),
+        "retail_nmv": F.when(delivered & retail, price),
+    }
+    names = [name for name, _ in SUMS]
+
+    # order grain; the sets of cancelled sellers are bounded by one order's lines
     orders = base.groupBy("order_date", "order_code", "customer_id").agg(
-        F.bool_or(delivered).alias("o_delivered"),
-        F.bool_or(no_subsidy).alias("o_non_assisted"),
-        F.bool_or(nos).alias("o_nos"),
-        F.bool_or(nos & retail).alias("o_retail_nos"),
-        F.bool_or(failed == F.lit(True)).alias("o_failed"),
-        F.bool_or("is_crm_confirm").alias("o_crm"),
-        F.bool_or(retail).alias("o_retail"),
+        *[F.bool_or(flag[c]).alias(f"o_{c}") for c in FLAGS],
         F.size(F.collect_set(F.when(cancelled, F.col("seller_id")))).alias("o_cancel_sellers"),
         F.size(F.collect_set(F.when(seller_cancelled, F.col("seller_id")))).alias("o_seller_cancel_sellers"),
-        F.collect_set(F.when(quality, F.col("return_qty"))).alias("o_quality_qty"),
-        F.sum("qty").alias("o_items"),
-        F.sum(price).alias("o_gmv"),
-        F.sum(F.when(no_subsidy, price)).alias("o_non_assisted_gmv"),
-        F.sum(F.col("platform_shipping") + F.col("platform_discount") + F.col("seller_shipping") + F.col("seller_discount"))
-        .alias("o_subsidy"),
-        F.sum(_z("platform_discount") + _z("platform_shipping")).alias("o_platform_subsidy"),
-        F.sum(_z("seller_discount") + _z("seller_shipping")).alias("o_seller_subsidy"),
-        F.sum(_z("seller_shipping") + _z("platform_shipping")).alias("o_shipping_subsidy"),
-        F.sum(_z("customer_shipping")).alias("o_customer_shipping"),
-        F.sum(_z("platform_discount")).alias("o_platform_discount"),
-        F.sum(F.when(delivered, price)).alias("o_nmv"),
-        F.sum(F.when(delivered, F.col("qty"))).alias("o_nis"),
-        F.sum(F.when(retail, price)).alias("o_retail_gmv"),
-        F.sum(F.when(retail, F.col("qty"))).alias("o_retail_items"),
-        F.sum(F.when(delivered & retail, price)).alias("o_retail_nmv"),
-        F.sum(F.when((failed == F.lit(False)) & (F.col("is_qc") == F.lit(True)), F.col("refund_amount"))).alias("o_rmv"),
+        *[F.sum(value[c]).alias(f"s_{c}") for c in names],
     )
-
-    sums = ["items", "gmv", "non_assisted_gmv", "subsidy", "platform_subsidy", "seller_subsidy", "shipping_subsidy",
-            "customer_shipping", "platform_discount", "nmv", "nis", "retail_gmv", "retail_items", "retail_nmv", "rmv"]
-    counted = ["delivered", "non_assisted", "nos", "retail_nos", "failed", "crm", "retail"]
-    # buyer-day grain: one shuffle on (day, customer); order metrics are
-    # carried up as partial sums / counts.
+    # buyer-day grain: order metrics go up as partial sums and counts
     buyers = orders.groupBy("order_date", "customer_id").agg(
         F.count(F.lit(1)).alias("b_orders"),
-        *[F.count_if(F.col(f"o_{c}")).alias(f"b_n_{c}") for c in counted],
+        *[F.count_if(F.col(f"o_{c}")).alias(f"n_{c}") for c in FLAGS],
         F.sum("o_cancel_sellers").alias("b_cancel_sellers"),
         F.sum("o_seller_cancel_sellers").alias("b_seller_cancel_sellers"),
-        *[F.sum(f"o_{c}").alias(f"b_{c}") for c in sums],
+        *[F.sum(f"s_{c}").alias(f"s_{c}") for c in names],
     )
-    day = buyers.groupBy("order_date").agg(
+    # the buyer's rank and gap are windows on the same rows, not a second pass
+    day = with_rank_and_gap(buyers).groupBy("order_date").agg(
         F.sum("b_orders").alias("gross_orders"),
-        F.sum("b_n_delivered").alias("delivered_orders"),
-        F.sum("b_n_non_assisted").alias("non_assisted_orders"),
-        F.sum("b_n_nos").alias("nos"),
-        F.sum("b_n_retail_nos").alias("retail_nos"),
-        F.sum("b_n_failed").alias("failed_delivery"),
-        F.sum("b_n_crm").alias("net_orders"),
-        F.sum("b_n_retail").alias("retail_orders"),
+        *[F.sum(f"n_{c}").alias(f"orders_{c}") for c in FLAGS],
+        *[F.count_if(F.col(f"n_{c}") > 0).alias(f"buyers_{c}") for c in FLAGS],
         F.sum("b_cancel_sellers").alias("cancelled_orders"),
         F.sum("b_seller_cancel_sellers").alias("seller_cancelled_orders"),
-        *[F.sum(f"b_{c}").alias(c) for c in sums],
         F.count(F.lit(1)).alias("total_buyers"),
-        F.count_if(F.col("b_n_non_assisted") > 0).alias("non_assisted_buyers"),
-        F.count_if(F.col("b_n_retail") > 0).alias("retail_buyers"),
-        F.count_if(F.col("b_n_crm") > 0).alias("net_buyers"),
+        *_rank_aggs(),
+        *[F.sum(f"s_{c}").alias(f"s_{c}") for c in names],
+    )
+    # values that are distinct within a day, not within an order
+    values = F.array(
+        F.struct(F.lit("quality").alias("kind"), F.when(quality, F.col("return_qty")).cast("long").alias("v")),
+        F.struct(F.lit("retail").alias("kind"), F.when(fulfillment == "Retail", F.col("product_id")).cast("long").alias("v")),
     )
-    ranked = ranked_day_stats(buyers.select("order_date", "customer_id"))
-    quality_day = (
-        orders.select("order_date", F.explode("o_quality_qty").alias("q"))
+    distinct_day = (
+        base.select("order_date", F.explode(values).alias("x"))
+        .filter("x.v IS NOT NULL")
+        .select("order_date", "x.kind", "x.v")
         .distinct()
         .groupBy("order_date")
-        .agg(F.count(F.lit(1)).alias("quality_returns"))
+        .agg(
+            F.count_if(F.col("kind") == "quality").alias("quality_returns"),
+            F.count_if(F.col("kind") == "retail").alias("gross_fbc_items"),
+        )
     )
-    # the per-day side frames hold one row per calendar day in [since, as_of)
-    # - bounded by the date range, not by the data - so they are broadcast
-    d = day.join(F.broadcast(ranked), "order_date", "left").join(F.broadcast(quality_day), "order_date", "left")
+    # one row per calendar day in [since, as_of): bounded by the date range, so it is broadcast
+    d = day.join(F.broadcast(distinct_day), "order_date", "left")
     g2n = F.round(
         F.when(F.col("gross_orders") == 0, F.lit(0).cast("decimal(38,18)")).otherwise(
-            F.col("delivered_orders").cast("decimal(20,0)") / F.col("gross_orders").cast("decimal(20,0)")
+            F.col("orders_delivered").cast("decimal(20,0)") / F.col("gross_orders").cast("decimal(20,0)")
         ),
         2,
     )
-    zero = F.lit(0).cast(DEC)
+    total = {c: F.coalesce(F.col(f"s_{c}"), F.lit(0)) if zero else F.col(f"s_{c}") for c, zero in SUMS}
     return d.select(
         "order_date",
         F.rpad(F.date_format("order_date", "EEEE"), 9, " ").alias("weekday"),
         F.month("order_date").alias("month"),
         "gross_orders",
-        "delivered_orders",
-        "non_assisted_orders",
-        (F.col("gross_orders") - F.col("non_assisted_orders")).alias("assisted_orders"),
+        F.col("orders_delivered").alias("delivered_orders"),
+        F.col("orders_non_assisted").alias("non_assisted_orders"),
+        (F.col("gross_orders") - F.col("orders_non_assisted")).alias("assisted_orders"),
         F.lit("0").alias("b2b_orders"),
-        "retail_orders",
+        F.col("orders_retail").alias("retail_orders"),
         g2n.alias("g2n"),
-        F.col("items").alias("total_items"),
+        total["items"].alias("total_items"),
         "total_buyers",
         "new_buyers",
         "returning_buyers",
-        "non_assisted_buyers",
-        (F.col("total_buyers") - F.col("non_assisted_buyers")).alias("assisted_buyers"),
-        "retail_buyers",
+        F.col("buyers_non_assisted").alias("non_assisted_buyers"),
+        (F.col("total_buyers") - F.col("buyers_non_assisted")).alias("assisted_buyers"),
+        F.col("buyers_b2b").alias("b2b_buyer"),
+        F.col("buyers_retail").alias("retail_buyer"),
+        F.coalesce("gross_fbc_items", F.lit(0)).alias("gross_fbc_items"),
+        total["gmv"].alias("total_gmv"),
+        total["non_assisted_gmv"].alias("non_assisted_gmv"),
+        (total["gmv"] - total["non_assisted_gmv"]).alias("assisted_gmv"),
+        total["subsidy"].alias("total_subsidy"),
+        total["b2b_gmv"].alias("b2b_gmv"),
         F.lit(0).cast("bigint").alias("b2b_buyers"),
-        F.col("gmv").alias("total_gmv"),
-        F.coalesce("non_assisted_gmv", zero).alias("non_assisted_gmv"),
-        (F.col("gmv") - F.coalesce("non_assisted_gmv", zero)).alias("assisted_gmv"),
-        F.col("subsidy").alias("total_subsidy"),
-        "platform_subsidy",
-        "seller_subsidy",
-        "shipping_subsidy",
-        "customer_shipping",
-        "platform_discount",
-        *[name for name, _, _ in BUCKETS],
-        F.coalesce("retail_gmv", zero).alias("retail_gmv"),
-        F.coalesce("retail_items", F.lit(0)).alias("retail_items"),
-        "nmv",
-        "rmv",
-        "nos",
-        "nis",
-        "failed_delivery",
+        total["retail_gmv"].alias("retail_gmv"),
+        F.col("buyers_retail").alias("retail_buyers"),
+        *[
+            total[c].alias(c)
+            for c in (
+                "customer_subsidy", "platform_subsidy", "seller_subsidy", "shipping_subsidy", "platform_shipping_subsidy",
+                "seller_shipping_subsidy", "customer_shipping",
+            )
+        ],
+        *[_bucket_share(name) for name, _, _ in BUCKETS],
+        *[
+            total[c].alias(c)
+            for c in (
+                "platform_discount", "retail_platform_discount", "retail_platform_shipping", "gmv_without_bikes",
+                "free_shipping_gmv", "voucher_gmv", "retail_items", "nmv", "rmv",
+            )
+        ],
+        F.col("orders_nos").alias("nos"),
+        total["nis"].alias("nis"),
+        F.col("orders_failed").alias("failed_delivery"),
         "cancelled_orders",
         "seller_cancelled_orders",
         F.coalesce("quality_returns", F.lit(0)).alias("quality_returns"),
-        "retail_nmv",
-        "retail_nos",
-        "net_orders",
-        "net_buyers",
+        total["consignment_gmv"].alias("consignment_gmv"),
+        F.col("orders_consignment").alias("consignment_orders"),
+        F.col("buyers_consignment").alias("consignment_buyer"),
+        total["consignment_items"].alias("consignment_items"),
+        total["retail_nmv"].alias("retail_nmv"),
+        F.col("orders_retail_nos").alias("retail_nos"),
+        F.col("gross_orders").alias("created_orders"),
+        F.col("total_buyers").alias("buyers"),
+        F.col("orders_crm").alias("net_orders"),
+        F.col("buyers_crm").alias("net_buyers"),
     )
 
 
-def ranked_day_stats(buyer_days_df: DataFrame) -> DataFrame:
-    """New / returning buyers and repeat-gap buckets per day from one
-    ranked pass (one window, one aggregate)."""
-    r = _ranked_buyer_days(buyer_days_df)
+def _rank_aggs() -> list[Column]:
+    """New and returning buyers of a day, repeat buyers, and those per gap bucket."""
     rep = F.col("date_diff") > 0
     aggs = [
         F.count_if(F.col("rank") == 1).alias("new_buyers"),
         F.count_if(F.col("rank") > 1).alias("returning_buyers"),
-        F.count_if(rep).alias("_n"),
+        F.count_if(rep).alias("repeat_buyers"),
     ]
     for name, lo, hi in BUCKETS:
         cond = F.col("date_diff") >= lo if hi is None else F.col("date_diff").between(lo, hi)
         aggs.append(F.count_if(rep & cond).alias(name))
-    g = r.groupBy("order_date").agg(*aggs)
-    return g.select(
-        "order_date",
-        "new_buyers",
-        "returning_buyers",
-        *[F.when(F.col("_n") > 0, _pct(F.col(name), F.col("_n"))).alias(name) for name, _, _ in BUCKETS],
-    )
+    return aggs
+
+
+def _bucket_share(name: str) -> Column:
+    """Share of a gap bucket; a day without repeat buyers has none."""
+    return F.when(F.col("repeat_buyers") > 0, _pct(F.col(name), F.col("repeat_buyers"))).alias(name)
 
 
 # ------------------------------------------------------------------ W06
-def _ranked_buyer_days(buyer_days: DataFrame) -> DataFrame:
+def with_rank_and_gap(buyer_days: DataFrame) -> DataFrame:
     """Rank and day gap per (customer, day).  The window partition is one
     customer's distinct days - bounded by the calendar, never by order
     volume, so a hot customer cannot blow up a task."""
     w = Window.partitionBy("customer_id").orderBy("order_date")
-    return buyer_days.select(
-        "order_date",
-        "customer_id",
-        F.row_number().over(w).alias("rank"),
-        F.coalesce(F.datediff("order_date", F.lag("order_date").over(w)), F.lit(0)).cast("bigint").alias("date_diff"),
+    return buyer_days.withColumns(
+        {
+            "rank": F.row_number().over(w),
+            "date_diff": F.coalesce(F.datediff("order_date", F.lag("order_date").over(w)), F.lit(0)).cast("bigint"),
+        }
     )
 
 
+def _ranked_buyer_days(buyer_days: DataFrame) -> DataFrame:
+    return with_rank_and_gap(buyer_days.select("order_date", "customer_id"))
+
+
 def new_returning_from(buyer_days: DataFrame) -> DataFrame:
     r = _ranked_buyer_days(buyer_days)
     return r.groupBy("order_date").agg(

@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from souk.oracle import kpi_sql
 from souk.plans import kpi
+from souk.plans.category import category_tree
 from souk.registry import AS_OF, SINCE, register
 from souk.sources import testviews as tv
 
 
 # ---------------------------------------------------------------- KPIs
-@register("daily_kpis", lambda: kpi_sql.daily_kpis_sql(SINCE, AS_OF))
+# The fixture's categories have other names: two of them stand for the bikes.
+BIKES_TEST = ["Supplier#000000003", "Supplier#000000005"]
+
+
+@register("daily_kpis", lambda: kpi_sql.daily_kpis_sql(SINCE, AS_OF, BIKES_TEST))
 def _daily_kpis(spark, d):
-    return kpi.daily_kpis(tv.order_lines(spark, d), SINCE, AS_OF)
+    tree = category_tree(tv.categories(spark, d), tv.industries(spark, d))
+    return kpi.daily_kpis(tv.order_lines(spark, d), tree, SINCE, AS_OF, bike_categories=BIKES_TEST)
 
 
 @register("new_returning", lambda: kpi_sql.new_returning_sql(SINCE, AS_OF))

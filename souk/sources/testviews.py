@@ -93,6 +93,12 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("o_orderdate").alias("order_date"),
         cust.alias("customer_id"),
         F.col("l_suppkey").alias("seller_id"),
+        F.when(F.col("l_suppkey") % 10 == 3, F.lit("B2B"))
+        .when(F.col("l_suppkey") % 10 != 4, F.concat(F.lit("S"), F.col("l_suppkey").cast("string")))
+        .alias("seller_code"),
+        F.when(F.col("l_suppkey") == 2, F.lit("Retail")).otherwise(F.concat(F.lit("Shop "), (F.col("l_suppkey") % 50).cast("string")))
+        .alias("shop_name"),
+        (F.col("l_partkey") % 9 == 0).alias("is_consignment"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_linenumber").alias("variant_id"),
         (F.col("l_suppkey") + 1000).alias("category_id"),
@@ -105,6 +111,8 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(voucher.startswith("SALE"), F.lit(2).cast("bigint")).alias("voucher_seller_id"),
         fs_id.alias("free_shipping_id"),
         F.when(fs_id == 0, F.lit(None).cast("boolean")).otherwise(fs_id % 2 == 1).alias("free_shipping_is_admin"),
+        F.when(fs_id != 0, (fs_id * 10).cast(DEC)).alias("admin_percent"),
+        F.when(fs_id != 0, (F.lit(100) - fs_id * 10).cast(DEC)).alias("seller_percent"),
         payment_method.alias("payment_method"),
         F.coalesce((status == "F") | payment_method.isin("CARD", "BKASH"), F.lit(False)).alias("is_paid"),
         (k % 4 != 0).alias("is_crm_confirm"),
