@@ -45,6 +45,9 @@ def kpi_sheet_raw(spark, d):
         F.lit(None).cast("string").alias("Unnamed: 5"),
         F.col("n").cast("string").alias("Orders"),
         F.col("b").cast("string").alias("Orders"),
+        F.col("b").cast("string").alias("Net Buyers"),
+        F.concat((F.col("n") % 5).cast("string"), F.lit("%")).alias("A2C / Checkout"),
+        F.concat(F.lit("$1,"), F.format_string("%03d", F.col("n") % 1000)).alias("CPO (Overall)"),
     )
 
 
@@ -52,7 +55,8 @@ SHEET_SQL = """sheet AS (
   SELECT strftime(d, '%Y-%m-%d') AS date, '৳' || format('{:,.2f}', n * 1000 + 0.5) AS spend_taka,
     '$' || CAST(n * 10 AS VARCHAR) AS usd, CAST(n % 7 AS VARCHAR) || '%' AS ctr,
     CAST((n % 3) * CAST(0.25 AS DECIMAL(3,2)) AS VARCHAR) || '%' AS cr,
-    CAST(n AS VARCHAR) AS orders, CAST(b AS VARCHAR) AS orders_1
+    CAST(n AS VARCHAR) AS orders, CAST(b AS VARCHAR) AS orders_1, CAST(b AS VARCHAR) AS net_buyers,
+    CAST(n % 5 AS VARCHAR) || '%' AS a2c___checkout, '$1,' || format('{:03d}', n % 1000) AS cpo_overall
   FROM (SELECT CAST(o_orderdate AS DATE) AS d, COUNT(*) AS n, COUNT(DISTINCT o_custkey) AS b FROM orders GROUP BY 1)
 )"""
 
@@ -96,12 +100,16 @@ def _clean_percent(spark, d):
 
 @register(
     "kpi_sheet_clean",
-    lambda: f"""WITH {SHEET_SQL}, {PCT_SQL}
-SELECT strftime(CAST(try_strptime(sheet.date, '%Y-%m-%d') AS TIMESTAMP), {FMT}) AS "Date",
-  {_cur('spend_taka')} AS "Spend", {_cur('usd')} AS "USD",
-  CASE WHEN mctr > 1 THEN p.ctr / 100 ELSE p.ctr END AS "CTR", CASE WHEN mcr > 1 THEN p.cr / 100 ELSE p.cr END AS "CR",
-  orders AS "Orders", orders_1 AS "Buyers"
-FROM sheet JOIN p ON sheet.date = p.date, mx""",
+    lambda: f"""WITH {SHEET_SQL}, {PCT_SQL},
+a AS (SELECT date, {_pct('a2c___checkout')} AS a2c FROM sheet)
+SELECT strftime(CAST(try_strptime(sheet.date, '%Y-%m-%d') AS TIMESTAMP), {FMT}) AS date,
+  {_cur('spend_taka')} AS spend_taka, {_cur('usd')} AS spend_in_usd,
+  CASE WHEN mctr > 1 THEN p.ctr / 100 ELSE p.ctr END AS ctr,
+  CASE WHEN mcr > 1 THEN p.cr / 100 ELSE p.cr END AS cms_reported_conversion_rate,
+  orders, orders_1, net_buyers AS cms_reported_net_buyers,
+  CASE WHEN (SELECT MAX(a2c) FROM a) > 1 THEN a.a2c / 100 ELSE a.a2c END AS add_to_cart_per_checkout,
+  {_cur('cpo_overall')} AS adjust_cpo_overall
+FROM sheet JOIN p ON sheet.date = p.date JOIN a ON sheet.date = a.date, mx""",
 )
 def _kpi_sheet_clean(spark, d):
     return SH.kpi_sheet_clean(kpi_sheet_raw(spark, d))
