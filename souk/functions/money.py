@@ -48,13 +48,13 @@ def shipping_allocation(lines: DataFrame, variant: str = "flag") -> DataFrame:
     else:
         admin = F.col("free_shipping_is_admin")
         seller = F.round(
-            F.when(admin == F.lit(True), shipping * F.col("seller_percent") / 100)
+            F.when(admin == F.lit(True), shipping.cast(DEC) * F.col("seller_percent") / 100)
             .when(admin == F.lit(False), shipping)
             .otherwise(F.lit(0)),
             2,
         )
         platform = F.round(
-            F.when(admin == F.lit(True), shipping * F.col("admin_percent") / 100).otherwise(F.lit(0)), 2
+            F.when(admin == F.lit(True), shipping.cast(DEC) * F.col("admin_percent") / 100).otherwise(F.lit(0)), 2
         )
     return lines.withColumns(
         {
@@ -90,9 +90,9 @@ def order_value(lines: DataFrame) -> DataFrame:
     )
 
 
-def with_money(lines: DataFrame) -> DataFrame:
+def with_money(lines: DataFrame, variant: str = "flag") -> DataFrame:
     """X07 + X08 + X09 in one projection (one codegen stage)."""
-    return order_value(voucher_allocation(shipping_allocation(lines)))
+    return order_value(voucher_allocation(shipping_allocation(lines, variant)))
 
 
 # ------------------------------------------------------------------ A01

@@ -174,16 +174,16 @@ def latest_milestone(columns: list[str]) -> Column:
 
 # ------------------------------------------------------------------ P12
 def case_labels(df: DataFrame) -> DataFrame:
-    """Labels used across reports: payment type, fulfilment, seller type,
-    package class by code prefix."""
-    pm = F.col("payment_method")
+    """Labels used across reports: payment type, fulfilment (type 1 is the
+    marketplace, any other or none the own retail), seller type by where the
+    seller hands packages over, package class by code prefix (any case;
+    another prefix has none)."""
+    pm, code = F.col("payment_method"), F.lower("package_code")
     return df.withColumns(
         {
             "payment_type": F.when(pm == "COD", "COD").otherwise("PrePayment"),
-            "fulfillment_by": F.when(F.col("seller_id") == 2, "Retail").otherwise("MarketPlace"),
-            "seller_type": F.when(F.col("voucher_seller_id").isNotNull(), "Seller Funded").otherwise("Platform Funded"),
-            "package_class": F.when(F.col("package_code").startswith("PK"), "Forward")
-            .when(F.col("package_code").startswith("RT"), "Return")
-            .otherwise("Other"),
+            "fulfillment_by": F.when(F.col("fulfillment_type") == 1, "MarketPlace").otherwise("Retail"),
+            "seller_type": F.when(F.col("is_drop_to_hub") == F.lit(True), "Drop-Off").otherwise("Pickup"),
+            "package_class": F.when(code.startswith("pkg"), "MarketPlace").when(code.startswith("opc"), "Warehouse"),
         }
     )

@@ -26,7 +26,18 @@ def cents(col: str) -> str:
 
 
 # Line money of the order views (X07-X11), mirrored from souk.functions.money.
-MONEY_CTES = f"""
+FLAG_SPLIT = """CASE WHEN free_shipping_id IS NOT NULL AND free_shipping_is_admin = TRUE THEN shipping_cost ELSE 0 END
+      AS platform_shipping,
+    CASE WHEN free_shipping_id IS NOT NULL AND free_shipping_is_admin = FALSE THEN shipping_cost ELSE 0 END
+      AS seller_shipping"""
+PERCENT_SPLIT = f"""CASE WHEN free_shipping_is_admin = TRUE
+      THEN {rround(f"{cents('shipping_cost')} * {cents('admin_percent')}", "1000000", 2)} ELSE 0 END AS platform_shipping,
+    CASE WHEN free_shipping_is_admin = TRUE THEN {rround(f"{cents('shipping_cost')} * {cents('seller_percent')}", "1000000", 2)}
+         WHEN free_shipping_is_admin = FALSE THEN shipping_cost ELSE 0 END AS seller_shipping"""
+
+
+def money_ctes(split: str) -> str:
+    return f"""
 m1 AS (
   SELECT *,
     {rround(f"{cents('ship_cost')} * {cents('weight_kg')} * qty", f"100 * {cents('total_weight_kg')}", 2)} AS shipping_cost,
@@ -37,10 +48,7 @@ m1 AS (
 m2 AS (
   SELECT *,
     COALESCE(CASE WHEN free_shipping_id = 0 THEN shipping_cost END, 0) AS customer_shipping,
-    CASE WHEN free_shipping_id IS NOT NULL AND free_shipping_is_admin = TRUE THEN shipping_cost ELSE 0 END
-      AS platform_shipping,
-    CASE WHEN free_shipping_id IS NOT NULL AND free_shipping_is_admin = FALSE THEN shipping_cost ELSE 0 END
-      AS seller_shipping,
+    {split},
     COALESCE(CASE WHEN voucher_seller_id IS NOT NULL THEN voucher_discount END, 0) AS seller_discount,
     COALESCE(CASE WHEN voucher_seller_id IS NULL THEN voucher_discount END, 0) AS platform_discount
   FROM m1
@@ -56,3 +64,6 @@ m4 AS (
              order_value) AS refund_amount
   FROM m3
 )"""
+
+
+MONEY_CTES = money_ctes(FLAG_SPLIT)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from souk.oracle.helpers import MONEY_CTES
+from souk.oracle.helpers import MONEY_CTES, PERCENT_SPLIT, money_ctes
 
 
 def category_tree_ctes(depth: int = 6) -> str:
@@ -59,7 +59,7 @@ m0 AS (
       OVER (PARTITION BY order_code, variant_id) AS total_returns
   FROM order_lines WHERE order_date <= DATE '{as_of}'
 ),
-{MONEY_CTES},
+{money_ctes(PERCENT_SPLIT)},
 {RETURN_MASTER},
 {BEST_TXN},
 om AS (

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 from souk.functions import dates as D
 from souk.functions import money as M
 from souk.functions import text as T
-from souk.oracle.helpers import MONEY_CTES
+from souk.oracle.helpers import FLAG_SPLIT, PERCENT_SPLIT, money_ctes
 from souk.oracle.views import with_views
 from souk.registry import AS_OF, register
 from souk.sources import testviews as tv
@@ -319,48 +319,64 @@ def _hub_class(spark, d):
         """
 SELECT order_code, variant_id,
   CASE WHEN payment_method = 'COD' THEN 'COD' ELSE 'PrePayment' END AS payment_type,
-  CASE WHEN seller_id = 2 THEN 'Retail' ELSE 'MarketPlace' END AS fulfillment_by,
-  CASE WHEN voucher_seller_id IS NOT NULL THEN 'Seller Funded' ELSE 'Platform Funded' END AS seller_type,
-  CASE WHEN starts_with(package_code, 'PK') THEN 'Forward' WHEN starts_with(package_code, 'RT') THEN 'Return'
-       ELSE 'Other' END AS package_class
-FROM order_lines""",
+  CASE WHEN fulfillment_type = 1 THEN 'MarketPlace' ELSE 'Retail' END AS fulfillment_by,
+  CASE WHEN is_drop_to_hub IS TRUE THEN 'Drop-Off' ELSE 'Pickup' END AS seller_type,
+  CASE WHEN package_code ILIKE 'pkg%' THEN 'MarketPlace' WHEN package_code ILIKE 'opc%' THEN 'Warehouse' END AS package_class
+FROM (SELECT * EXCLUDE (package_code),
+        CASE seller_id % 3 WHEN 0 THEN 'PKG' WHEN 1 THEN 'opc' ELSE '' END || package_code AS package_code,
+        CASE WHEN seller_id <> 2 THEN 1 END AS fulfillment_type,
+        CASE WHEN seller_id % 4 <> 3 THEN seller_id % 4 = 1 END AS is_drop_to_hub
+      FROM order_lines)""",
     ),
 )
 def _case_labels(spark, d):
-    l = T.case_labels(tv.order_lines(spark, d))
+    s = F.col("seller_id")
+    l = T.case_labels(
+        tv.order_lines(spark, d).withColumns(
+            {
+                "package_code": F.concat(F.when(s % 3 == 0, "PKG").when(s % 3 == 1, "opc").otherwise(""), "package_code"),
+                "fulfillment_type": F.when(s != 2, F.lit(1)),
+                "is_drop_to_hub": F.when(s % 4 != 3, s % 4 == 1),
+            }
+        )
+    )
     return l.select("order_code", "variant_id", "payment_type", "fulfillment_by", "seller_type", "package_class")
 
 
 # ------------------------------------------------------------ money
-def _money_lines(spark, d):
+def _money_lines(spark, d, variant: str = "flag"):
     l = M.with_total_returns(tv.order_lines(spark, d))
-    return M.refund_amount(M.return_qty_capped(M.with_money(l), "coalesce"))
+    return M.refund_amount(M.return_qty_capped(M.with_money(l, variant), "coalesce"))
 
 
-def _money_sql(select: str) -> str:
+def _money_sql(select: str, split: str = FLAG_SPLIT) -> str:
     return with_views(
         ["order_lines"],
         f"""
 WITH m0 AS (
   SELECT *, SUM(CASE WHEN is_failed_delivery = FALSE AND is_qc = TRUE THEN return_qty_raw END) OVER (PARTITION BY order_code, variant_id) AS total_returns FROM order_lines
 ),
-{MONEY_CTES}
+{money_ctes(split)}
 {select}""",
     )
 
 
-@register(
-    "shipping_allocation",
-    lambda: _money_sql(
-        """SELECT order_code, variant_id, product_id, CAST(shipping_cost AS DOUBLE) AS shipping_cost,
+SHIPPING_SQL = """SELECT order_code, variant_id, product_id, CAST(shipping_cost AS DOUBLE) AS shipping_cost,
   CAST(customer_shipping AS DOUBLE) AS customer_shipping, CAST(platform_shipping AS DOUBLE) AS platform_shipping,
   CAST(seller_shipping AS DOUBLE) AS seller_shipping FROM m4"""
-    ),
-)
+SHIPPING_COLS = [
+    "order_code", "variant_id", "product_id", "shipping_cost", "customer_shipping", "platform_shipping", "seller_shipping"
+]
+
+
+@register("shipping_allocation", lambda: _money_sql(SHIPPING_SQL))
 def _shipping_allocation(spark, d):
-    return _money_lines(spark, d).select(
-        "order_code", "variant_id", "product_id", "shipping_cost", "customer_shipping", "platform_shipping", "seller_shipping"
-    )
+    return _money_lines(spark, d).select(*SHIPPING_COLS)
+
+
+@register("shipping_allocation_percent", lambda: _money_sql(SHIPPING_SQL, PERCENT_SPLIT))
+def _shipping_allocation_percent(spark, d):
+    return _money_lines(spark, d, "percent").select(*SHIPPING_COLS)
 
 
 @register(
