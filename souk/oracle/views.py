@@ -138,8 +138,82 @@ SELECT 'RT' || CAST(order_code AS VARCHAR) || '-' || CAST(variant_id AS VARCHAR)
 FROM order_lines WHERE return_created_ts IS NOT NULL
 """
 
+_CODE = "CASE {s} % 3 WHEN 0 THEN 'PKG' WHEN 1 THEN 'opc' ELSE 'PK' END || CAST({k} AS VARCHAR) || '-' || CAST({s} AS VARCHAR)"
+_LINE_CODE = _CODE.format(k="l_orderkey", s="l_suppkey")
+_ORDER_CODE = _CODE.format(k="order_code", s="seller_id")
+
+
+def package_log_sql(statuses: list[str]) -> str:
+    values = ", ".join("'" + v.replace("'", "''") + "'" for v in statuses)
+    return f"""
+SELECT l_orderkey * 1000 + l_linenumber * 10 + step AS txn_id, {_LINE_CODE} AS package_code,
+  CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS order_id,
+  list_extract([{values}], CAST(i + 1 AS INTEGER)) AS logistic_status,
+  CASE WHEN i % 5 = 0 THEN 'Ready To Ship' END AS seller_status,
+  CASE WHEN i % 6 = 0 THEN 'Return Successful' END AS customer_status,
+  strftime(l_shipdate + step * INTERVAL 1 HOUR + (l_linenumber * 7 % 60) * INTERVAL 1 MINUTE + l_linenumber * INTERVAL 1 SECOND,
+           '%d/%m/%Y %I:%M:%S %p') AS transaction_time
+FROM (SELECT *, (l_orderkey * 3 + l_linenumber * 5 + step * 7 + l_suppkey) % {len(statuses)} AS i
+      FROM lineitem, (SELECT unnest([0, 1, 2, 3]) AS step))
+"""
+
+
+VIEWS["packages"] = f"""
+SELECT {_LINE_CODE} AS package_code, l_orderkey AS order_code,
+  CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS order_id,
+  'S' || CAST(l_suppkey AS VARCHAR) AS seller_code, 'Shop ' || CAST(l_suppkey % 50 AS VARCHAR) AS shop_name,
+  CASE WHEN l_suppkey % 3 <> 0 THEN 'First' || CAST(l_suppkey AS VARCHAR) END AS seller_first_name,
+  'Last' || CAST(l_suppkey AS VARCHAR) AS seller_last_name,
+  CASE WHEN l_suppkey % 4 <> 3 THEN l_suppkey % 4 = 1 END AS is_drop_to_hub,
+  CAST(SUM(CAST(CAST(l_partkey % 20 + 1 AS DECIMAL(18,2)) * 0.25 AS DECIMAL(18,2)) * CAST(l_quantity AS BIGINT)) AS DECIMAL(18,2))
+    AS total_package_weight_in_kg,
+  CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS packed_qty,
+  CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS packed_amount,
+  MIN(o_orderdate) + INTERVAL 1 DAY AS created_ts,
+  MAX(l_shipdate + INTERVAL 2 HOUR + (l_linenumber * 7 % 60) * INTERVAL 1 MINUTE) AS updated_ts,
+  CASE l_orderkey % 6 WHEN 0 THEN '3PL' WHEN 1 THEN 'Tongi Hub' WHEN 2 THEN 'Patenga Hub' WHEN 3 THEN 'Uttara Hub'
+    WHEN 4 THEN 'Faraway Hub' WHEN 5 THEN 'Carry Bee' END AS destination_hub,
+  'Hub ' || CAST(l_suppkey % 7 AS VARCHAR) AS source_hub, 'Hub ' || CAST(l_orderkey % 3 AS VARCHAR) AS current_hub,
+  CASE l_orderkey % 4 WHEN 0 THEN 'Delivered' WHEN 1 THEN 'Pending At LM' WHEN 2 THEN 'Assigned Delivery Man' END AS package_status,
+  CASE WHEN l_orderkey % 5 = 0 THEN 'Reverse' ELSE 'Forward' END AS journey_type
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_orderkey, l_suppkey
+"""
+
+VIEWS["bookings"] = """
+SELECT package_code, CASE WHEN order_code % 2 = 0 THEN 'carrybee' ELSE 'pathao' END AS partner_name,
+  CASE WHEN order_code % 5 <> 1 THEN created_ts + INTERVAL 2 HOUR END AS booking_date,
+  CASE order_code % 4 WHEN 0 THEN 'On hold' WHEN 1 THEN 'Return' WHEN 2 THEN 'Delivered' END AS order_status
+FROM packages WHERE order_code % 3 = 0
+"""
+
+VIEWS["journey_lines"] = f"""
+SELECT * EXCLUDE (package_code), {_ORDER_CODE} AS package_code, CASE WHEN seller_id <> 2 THEN 1 END AS fulfillment_type,
+  'Part ' || CAST(product_id AS VARCHAR) || CASE WHEN product_id % 50 = 0 THEN ' (Not for Sale)' ELSE '' END AS product_name,
+  CASE order_code % 12 WHEN 0 THEN 'test order' WHEN 1 THEN 'customer called' END AS cancel_reason_description,
+  CASE WHEN order_code % 3 = 0 THEN 'Shipped' ELSE 'Packed' END AS seller_status,
+  order_ts + INTERVAL 3 DAY AS updated_ts
+FROM order_lines
+"""
+
+VIEWS["journey_returns"] = f"""
+SELECT 'RT' || tail AS return_code, CASE WHEN order_code % 4 <> 0 THEN 'RP' || tail END AS return_package_code,
+  {_ORDER_CODE} AS original_package_code, order_code, variant_id, is_failed_delivery, is_qc, return_reason,
+  return_qty_raw AS return_qty, CASE WHEN order_code % 2 = 0 THEN 'Return Confirm' ELSE 'In QC' END AS return_status,
+  CASE WHEN order_code % 9 = 0 THEN 'box was open' END AS return_reason_description,
+  CASE WHEN order_code % 3 = 0 THEN 'Bank' END AS refund_method, return_created_ts,
+  return_created_ts + INTERVAL 1 DAY + (product_id % 24) * INTERVAL 1 HOUR AS return_pkg_created_ts
+FROM (SELECT *, CAST(order_code AS VARCHAR) || '-' || CAST(variant_id AS VARCHAR) || '-' || CAST(product_id AS VARCHAR) || '-'
+        || CAST(seller_id AS VARCHAR) AS tail FROM order_lines WHERE return_created_ts IS NOT NULL)
+"""
+
 # view -> views it reads (beyond the driver tables)
-DEPENDS = {"order_lines": ["order_lines_base"], "returns": ["order_lines"]}
+DEPENDS = {
+    "order_lines": ["order_lines_base"],
+    "returns": ["order_lines"],
+    "bookings": ["packages"],
+    "journey_lines": ["order_lines"],
+    "journey_returns": ["order_lines"],
+}
 
 
 def with_views(names: list[str], body: str, recursive: bool = False) -> str:

@@ -15,11 +15,8 @@ from pyspark.sql import functions as F
 
 from souk.functions import dates as D
 from souk.functions import text as T
-from souk.operators.dedupe import asc, desc, first_per_key
-
-# Fixed values of the test mapping: the status hierarchy of the package log
-# (earliest to latest step), used for ties in the latest-status rule.
-PACKAGE_STATUSES = ["signup", "view", "click", "purchase", "error"]
+from souk.operators.dedupe import asc, desc, first_per_key, return_latest
+from souk.plans.milestones import OWN_HUBS, PACKAGE_MILESTONES, PACKAGE_STEPS, PARTNER_HUBS, RETURN_MILESTONES, RETURN_STEPS, THREEPL_STATUSES
 
 
 def parsed_log(log: DataFrame, time_col: str = "transaction_time") -> DataFrame:
@@ -78,8 +75,8 @@ def status_distribution(df: DataFrame, col: str) -> DataFrame:
 
 # ------------------------------------------------------------------ J11 / W05
 def partner_latest(partner: DataFrame) -> DataFrame:
-    """Partner rows keyed by the cleaned merchant order id, latest status
-    update per order (ties -> later row)."""
+    """Partner rows keyed by the cleaned merchant order id, latest booking
+    per order (ties -> later row)."""
     p = partner.select(
         T.strip_quotes("merchant_order_id").alias("order_id"),
         F.try_to_timestamp("order_status_updated_at", F.lit("yyyy-MM-dd HH:mm:ss")).alias("updated_at"),
@@ -88,7 +85,7 @@ def partner_latest(partner: DataFrame) -> DataFrame:
         "partner_name",
         "row_id",
     )
-    return first_per_key(p, ["order_id"], [desc("updated_at", nulls_first=False), desc("row_id")])
+    return first_per_key(p, ["order_id"], [desc("booking_ts", nulls_first=False), desc("row_id")])
 
 
 def partner_join(df: DataFrame, partner: DataFrame, key: str) -> DataFrame:
@@ -96,10 +93,17 @@ def partner_join(df: DataFrame, partner: DataFrame, key: str) -> DataFrame:
     return df.join(partner, df[key] == partner["order_id"], "left").drop("order_id")
 
 
-# ------------------------------------------------------------------ C21
-def package_journey(log: DataFrame, partner: DataFrame, statuses: list[str] | None = None,
-                    as_of: str | None = None) -> DataFrame:
-    statuses = statuses or PACKAGE_STATUSES
+# ------------------------------------------------------------------ A06 / A07 over the milestone tables
+def milestones(log: DataFrame, key: str, rules: list[tuple[str, str, str]]) -> DataFrame:
+    """First minute of every milestone ``(output, log column, status)`` per ``key``: one aggregate, combined map-side."""
+    p = parsed_log(log).withColumn("status_ts", F.date_trunc("minute", "status_ts"))
+    return p.groupBy(key).agg(*[F.min(F.when(F.col(c) == v, F.col("status_ts"))).alias(name) for name, c, v in rules])
+
+
+def status_journey(log: DataFrame, partner: DataFrame, statuses: list[str], as_of: str | None = None) -> DataFrame:
+    """Journey of a log without a package table: ``statuses`` (earliest
+    first) pivoted, latest status, partner row.  The third and fourth
+    status stand for the first and second failed attempt."""
     p = parsed_log(log)
     pv = p.groupBy("package_code").agg(
         *[F.min(F.when(F.col("status") == s, F.col("status_ts"))).alias(s) for s in statuses],
@@ -122,43 +126,161 @@ def package_journey(log: DataFrame, partner: DataFrame, statuses: list[str] | No
     return out
 
 
+# ------------------------------------------------------------------ C21
+def package_journey(
+    lines: DataFrame, packages: DataFrame, returns: DataFrame, log: DataFrame, bookings: DataFrame, since: str,
+    hubs: list[str] | None = None, own_label: str = "platform",
+) -> DataFrame:
+    """Order lines since ``since`` with their package, its milestones, the
+    order's latest returns, the partner's booking, and the labels.
+
+    As in the source, returns join by the order alone: a line is repeated
+    for each return kept of its order.  Package, milestones and booking are
+    joined first, one row per package, so the lines are shuffled once.
+    """
+    r = return_latest(returns, ["order_code", "variant_id"], "return_code", tiebreak="return_pkg_created_ts").select(
+        "order_code", F.col("return_package_code").alias("order_return_packagecode"), "is_failed_delivery", "is_qc"
+    )
+    pk = (
+        packages.select(
+            "package_code", "total_package_weight_in_kg", "package_status", "source_hub", "destination_hub",
+            F.to_date("created_ts").alias("created_at"), F.to_date("updated_ts").alias("updated_at"), "journey_type",
+        )
+        .join(milestones(log, "package_code", PACKAGE_MILESTONES), "package_code", "left")
+        .join(bookings.select("package_code", "partner_name", "booking_date"), "package_code", "left")
+    )
+    base = lines.filter((F.col("order_date") >= F.lit(since).cast("date")) & F.col("package_code").isNotNull()).select(
+        "package_code", "order_code", "seller_order_code", "payment_method", "fulfillment_type", "seller_code", "shop_name",
+        F.col("qty").alias("quantity"), "total_price",
+    )
+    j = base.join(r, "order_code", "left").join(pk, "package_code", "left")
+    return j.select(
+        "package_code",
+        "order_return_packagecode",
+        F.col("order_code").alias("customer_order_code"),
+        "seller_order_code",
+        T.attempt_number("first_pickup_attempt", "second_pickup_attempt").alias("pick_up_attempt_number"),
+        F.when(F.col("payment_method") == "COD", "COD").otherwise("PrePayment").alias("payment_type"),
+        T.attempt_number("first_delivery_attempt", "second_delivery_attempt").alias("delivery_attempt_number"),
+        "is_failed_delivery",
+        "quantity",
+        "total_price",
+        "seller_code",
+        "shop_name",
+        F.when(F.col("fulfillment_type") == 1, "MarketPlace").otherwise("Retail").alias("fulfillment_by"),
+        "total_package_weight_in_kg",
+        "package_status",
+        "source_hub",
+        "destination_hub",
+        "created_at",
+        "updated_at",
+        *[name for name, _, _ in PACKAGE_MILESTONES],
+        "is_qc",
+        "journey_type",
+        "partner_name",
+        "booking_date",
+        T.hub_class("destination_hub", hubs, own_label).alias("hub_operator"),
+        T.weight_category("total_package_weight_in_kg").alias("weight_category"),
+        T.latest_milestone(PACKAGE_STEPS).alias("latest_status"),
+    )
+
+
 # ------------------------------------------------------------------ C22
-# Fixed values of the test mapping: return milestones over the two status
-# columns (logistic status, customer status).
-RETURN_RULES = [
-    ("cr_initiated", "signup", None),
-    ("cr_confirm", "view", "cr_view"),
-    ("cr_pickup_successful", "click", "cr_click"),
-    ("in_qc", "purchase", None),
-    ("qc_passed", "error", None),
+RETURN_DURATIONS = [
+    ("cr_initiated_to_cr_confirm", "cr_initiated", "cr_confirm"),
+    ("cr_pickup_to_confirm", "cr_confirm", "cr_pickup_successful"),
+    ("cr_pickup_successful_to_in_transit_to_fmqcc", "cr_pickup_successful", "in_transit_to_fmqcc"),
+    ("in_transit_to_fmqcc_to_pending_at_fmqcc", "in_transit_to_fmqcc", "pending_at_fmqcc"),
+    ("pending_at_fmqcc_to_qc_passed", "pending_at_fmqcc", "qc_passed"),
 ]
 
 
-def return_log(log: DataFrame) -> DataFrame:
-    """Return-side log: logistic status plus a customer status on some rows."""
-    s = F.col("status")
-    return parsed_log(log).withColumn(
-        "customer_status", F.when(s.isin("click", "view"), F.concat(F.lit("cr_"), s))
+def return_journey(
+    lines: DataFrame, packages: DataFrame, returns: DataFrame, log: DataFrame, bookings: DataFrame, since: str, as_of: str,
+    internal_sellers=(1, 3), own_label: str = "platform",
+) -> DataFrame:
+    """The latest return of every order, if it is no failed delivery, with
+    the order of its package, that order's milestones, the partner's
+    booking, durations in hours and the latest step.
+
+    Kept: orders since ``since`` of outside sellers, confirmed or pending,
+    not cancelled but for tests, with a payment method and a product that is
+    for sale (SQL rules: NULL sellers and products go).  Of an order's lines
+    the first one by variant and product stands for it.
+    """
+    rm = return_latest(returns, ["order_code"], "return_pkg_created_ts", tiebreak="return_code").filter(
+        (F.col("is_failed_delivery") == F.lit(False)) & F.col("return_code").isNotNull()
     )
-
-
-def return_journey(log: DataFrame, partner: DataFrame, as_of: str) -> DataFrame:
-    rl = return_log(log)
-    pv = milestone_pivot_two(rl, "package_code", "status", "customer_status", "status_ts", RETURN_RULES)
-    names = [r[0] for r in RETURN_RULES]
-    pv = pv.withColumns(
-        {
-            "confirm_or_pickup": F.coalesce("cr_confirm", "cr_pickup_successful"),
-            "cr_initiated_week": D.week_number(F.to_date("cr_initiated")),
-            "cr_initiated_to_cr_confirm": D.hours_between("cr_initiated", "cr_confirm"),
-            "cr_pickup_to_confirm": D.hours_between("cr_confirm", "cr_pickup_successful"),
-            "in_qc_to_qc_passed": D.hours_between("in_qc", "qc_passed"),
-            "latest_status": T.latest_milestone(names),
-            "pkg_key": F.concat(F.lit("PK"), F.col("package_code").cast("string")),
-        }
+    om = first_per_key(
+        lines.select(
+            "seller_order_code", "variant_id", "product_id", "order_code", "order_date", "order_ts", "updated_ts", "seller_id",
+            "seller_code", "shop_name", "fulfillment_type", "product_name", "total_price", "seller_status", "customer_status",
+            "is_crm_confirm", "cancel_reason", "cancel_reason_description", "payment_method",
+        ),
+        ["seller_order_code"],
+        [asc("variant_id"), asc("product_id")],
+    ).filter(
+        (F.col("order_date") >= F.lit(since).cast("date"))
+        & ~F.col("seller_id").isin(*internal_sellers)
+        & (F.col("is_crm_confirm") | (F.col("customer_status") == "Pending"))
+        & (F.col("cancel_reason").isNull() | F.col("cancel_reason").ilike("%test%"))
+        & (F.col("cancel_reason_description").isNull() | F.col("cancel_reason_description").like("%test%"))
+        & ~F.col("product_name").ilike("%not for sale%")
+        & F.col("payment_method").isNotNull()
+    )
+    pk = first_per_key(
+        packages.select("order_id", "package_code", "total_package_weight_in_kg", "source_hub", "destination_hub"),
+        ["order_id"],
+        [asc("package_code")],
+    )
+    hub = F.col("destination_hub")
+    orders = (
+        om.withColumnRenamed("seller_order_code", "order_id")
+        .drop("order_code", "variant_id", "product_id")
+        .join(pk, "order_id")
+        .join(milestones(log, "order_id", RETURN_MILESTONES), "order_id", "left")
+        .join(bookings.select("package_code", "partner_name", "booking_date"), "package_code", "left")
+    )
+    j = rm.select(
+        "original_package_code", F.col("return_package_code").alias("order_return_package_code"),
+        F.col("order_code").alias("customer_order_code"), F.col("return_code").alias("order_return_code"),
+        F.col("return_qty").alias("quantity"), "return_status", "return_reason", "return_reason_description", "refund_method",
+        F.date_trunc("minute", "return_created_ts").alias("cr_initiated"),
+    ).join(orders, F.col("original_package_code") == F.col("package_code"))
+    return j.select(
+        "package_code",
+        "original_package_code",
+        "order_return_package_code",
+        "order_id",
+        "customer_order_code",
+        "order_return_code",
+        "seller_id",
+        "seller_code",
+        "shop_name",
+        F.when(F.col("fulfillment_type") == 1, "MarketPlace").otherwise("Retail").alias("fulfillment_by"),
+        "product_name",
+        "quantity",
+        "total_price",
+        "total_package_weight_in_kg",
+        "seller_status",
+        "return_status",
+        F.date_trunc("minute", "order_ts").alias("order_created_at"),
+        F.date_trunc("minute", "updated_ts").alias("order_updated_at"),
+        "cr_initiated",
+        *[name for name, _, _ in RETURN_MILESTONES],
+        "source_hub",
+        F.when(hub.isin(*OWN_HUBS), own_label).when(hub.isin(*PARTNER_HUBS), "3PL").otherwise("Other").alias("destination_hub"),
+        "payment_method",
+        "return_reason",
+        "return_reason_description",
+        "partner_name",
+        "booking_date",
+        D.week_number(F.to_date("cr_initiated")).alias("cr_initiated_week"),
+        *[D.hours_between(a, b).alias(name) for name, a, b in RETURN_DURATIONS],
+        D.days_between_floor("booking_date", F.lit(as_of).cast("timestamp")).alias("booking_age"),
+        T.latest_milestone(RETURN_STEPS).alias("latest_status"),
+        "refund_method",
     )
-    out = partner_join(pv, partner_latest(partner), "pkg_key").drop("pkg_key", "row_id", "updated_at")
-    return out.withColumn("booking_age", D.days_between_floor("booking_ts", F.lit(as_of).cast("timestamp")))
 
 
 # ------------------------------------------------------------------ J07
@@ -182,25 +304,52 @@ def status_at_update(log: DataFrame, partner: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ C23
-def threepl_status(lines: DataFrame, partner: DataFrame, hubs: list[str], as_of: str) -> DataFrame:
-    """Current packages at 3PL hubs with the partner's latest status,
-    ageing (half-even days, NULL -> 0) and forward/reverse class."""
-    pk = (
-        lines.select(
-            F.concat(F.lit("PK"), F.col("customer_id").cast("string")).alias("pkg_key"),
-            F.col("shipping_city").alias("destination_hub"),
-            "package_created_ts",
-        )
-        .filter(F.col("destination_hub").isin(*hubs))
+def threepl_status(
+    packages: DataFrame, log: DataFrame, bookings: DataFrame, as_of: str, hubs: list[str] | None = None
+) -> DataFrame:
+    """Packages that partner carriers hold now: the log has one of
+    ``THREEPL_STATUSES`` in the minute of the package's last update (the
+    first by name, if both) and its destination is a partner hub; with the
+    partner's booking, its age in days (half-even, none is 0) and class.
+
+    Few packages have such a status and hub, so both filters come before
+    the join on package and minute, which stays an equi-join.
+    """
+    pk = packages.filter(F.col("destination_hub").isin(*(hubs or T.THREEPL_HUBS))).withColumn(
+        "minute", F.date_trunc("minute", F.col("updated_ts").cast("timestamp"))
     )
-    pk = first_per_key(pk, ["pkg_key"], [desc("package_created_ts"), asc("destination_hub")])
-    out = partner_join(pk, partner_latest(partner), "pkg_key")
-    return out.select(
-        "pkg_key",
+    p = parsed_log(log.filter(F.col("logistic_status").isin(*THREEPL_STATUSES))).select(
+        "package_code", F.date_trunc("minute", "status_ts").alias("minute"), "logistic_status"
+    )
+    now = p.groupBy("package_code", "minute").agg(F.min("logistic_status").alias("status_now"))
+    j = pk.join(now, ["package_code", "minute"]).join(
+        bookings.select("package_code", "partner_name", "booking_date", "order_status"), "package_code", "left"
+    )
+    code = F.lower("package_code")
+    return j.select(
+        "package_code",
+        F.col("package_code").alias("original_package_code"),
+        F.col("order_code").alias("order_no"),
+        F.col("order_id").alias("order_code"),
+        F.col("packed_qty").alias("quantity"),
+        F.round("packed_amount", 0).alias("total_price"),
+        "total_package_weight_in_kg",
+        F.when(F.col("is_drop_to_hub") == F.lit(True), "Drop-Off").otherwise("Pickup").alias("seller_type"),
+        "seller_code",
+        T.concat_name("seller_first_name", "seller_last_name").alias("seller_name"),
+        "shop_name",
+        F.when(code.startswith("pkg"), "MarketPlace").when(code.startswith("opc"), "Warehouse").alias("fulfillment_by"),
+        F.lit("Sales Order").alias("order_type"),
+        F.lit("Forward").alias("journey_type"),
+        F.col("status_now").alias("package_status"),
+        "source_hub",
         "destination_hub",
-        "package_created_ts",
-        "order_status",
+        F.col("current_hub").alias("current_location"),
+        F.date_trunc("minute", "created_ts").alias("created_at"),
+        F.date_trunc("minute", "updated_ts").alias("updated_at"),
         "partner_name",
+        "booking_date",
+        "order_status",
+        D.package_aging("booking_date", as_of).alias("aging"),
         T.journey_class("order_status").alias("journey_type_3pl"),
-        D.package_aging("booking_ts", as_of).alias("aging_days"),
     )

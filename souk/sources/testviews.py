@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from souk.plans.milestones import ATTEMPT_MILESTONES, PACKAGE_MILESTONES, RETURN_MILESTONES
 from souk.sources.io import load_table
 
 DEC = "decimal(18,2)"
@@ -326,3 +327,120 @@ def partner_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         st.alias("order_status"),
         F.when(F.col("event_id") % 3 == 0, F.lit("carrybee")).otherwise(F.lit("pathao")).alias("partner_name"),
     )
+
+
+# Fixed values of the test mapping: event types as package statuses, earliest step first.
+EVENT_STATUSES = ["signup", "view", "click", "purchase", "error"]
+# Fixed values of the test mapping: return milestones over (status, customer status).
+EVENT_RETURN_RULES = [
+    ("cr_initiated", "signup", None),
+    ("cr_confirm", "view", "cr_view"),
+    ("cr_pickup_successful", "click", "cr_click"),
+    ("in_qc", "purchase", None),
+    ("qc_passed", "error", None),
+]
+LOG_STATUSES = list(dict.fromkeys(v for _, c, v in [*PACKAGE_MILESTONES, *RETURN_MILESTONES, *ATTEMPT_MILESTONES] if c == "logistic_status"))
+HUBS = ["3PL", "Tongi Hub", "Patenga Hub", "Uttara Hub", "Faraway Hub", "Carry Bee"]
+PACKAGE_STATES = ["Delivered", "Pending At LM", "Assigned Delivery Man"]
+BOOKING_STATES = ["On hold", "Return", "Delivered"]
+
+
+def _package_code(k: Column, supp: Column) -> Column:
+    prefix = F.when(supp % 3 == 0, "PKG").when(supp % 3 == 1, "opc").otherwise("PK")
+    return F.concat(prefix, k.cast("string"), F.lit("-"), supp.cast("string"))
+
+
+def package_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four log rows per order line, text times, real status names."""
+    li = load_table(spark, sf_dir, "lineitem")
+    k, supp, ln, step = F.col("l_orderkey"), F.col("l_suppkey"), F.col("l_linenumber"), F.col("step")
+    rows = li.select("l_orderkey", "l_suppkey", "l_linenumber", "l_shipdate", F.explode(F.array(*map(F.lit, range(4)))).alias("step"))
+    i = (k * 3 + ln * 5 + step * 7 + supp) % len(LOG_STATUSES)
+    ts = F.col("l_shipdate") + F.make_dt_interval(F.lit(0), step, (ln * 7 % 60).cast("int"), ln.cast("decimal(18,6)"))
+    return rows.select(
+        (k * 1000 + ln * 10 + step).alias("txn_id"),
+        _package_code(k, supp).alias("package_code"),
+        F.concat(k.cast("string"), F.lit("-"), supp.cast("string")).alias("order_id"),
+        F.element_at(F.array(*map(F.lit, LOG_STATUSES)), (i + 1).cast("int")).alias("logistic_status"),
+        F.when(i % 5 == 0, "Ready To Ship").alias("seller_status"),
+        F.when(i % 6 == 0, "Return Successful").alias("customer_status"),
+        F.date_format(ts, "dd/MM/yyyy hh:mm:ss a").alias("transaction_time"),
+    )
+
+
+def packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One package per order and seller, last updated in the minute of one of its log rows."""
+    li, o = load_table(spark, sf_dir, "lineitem"), load_table(spark, sf_dir, "orders")
+    k, supp, ln = F.col("l_orderkey"), F.col("l_suppkey"), F.col("l_linenumber")
+    weight = (((F.col("l_partkey") % 20 + 1).cast(DEC) * F.lit(Decimal("0.25"))).cast(DEC) * F.col("l_quantity").cast("bigint")).cast(DEC)
+    g = li.join(o, li.l_orderkey == o.o_orderkey).groupBy("l_orderkey", "l_suppkey").agg(
+        F.sum(weight).cast(DEC).alias("total_package_weight_in_kg"),
+        F.sum(F.col("l_quantity").cast("bigint")).alias("packed_qty"),
+        F.sum(F.col("l_extendedprice").cast(DEC)).cast(DEC).alias("packed_amount"),
+        F.min("o_orderdate").alias("order_ts"),
+        F.max(F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.lit(2), (ln * 7 % 60).cast("int"))).alias("updated_ts"),
+    )
+    return g.select(
+        _package_code(k, supp).alias("package_code"),
+        k.alias("order_code"),
+        F.concat(k.cast("string"), F.lit("-"), supp.cast("string")).alias("order_id"),
+        F.concat(F.lit("S"), supp.cast("string")).alias("seller_code"),
+        F.concat(F.lit("Shop "), (supp % 50).cast("string")).alias("shop_name"),
+        F.when(supp % 3 != 0, F.concat(F.lit("First"), supp.cast("string"))).alias("seller_first_name"),
+        F.concat(F.lit("Last"), supp.cast("string")).alias("seller_last_name"),
+        F.when(supp % 4 != 3, supp % 4 == 1).alias("is_drop_to_hub"),
+        "total_package_weight_in_kg",
+        "packed_qty",
+        "packed_amount",
+        (F.col("order_ts") + F.expr("INTERVAL 1 DAYS")).alias("created_ts"),
+        "updated_ts",
+        _pick(k % 6, HUBS).alias("destination_hub"),
+        F.concat(F.lit("Hub "), (supp % 7).cast("string")).alias("source_hub"),
+        F.concat(F.lit("Hub "), (k % 3).cast("string")).alias("current_hub"),
+        _pick(k % 4, PACKAGE_STATES).alias("package_status"),
+        F.when(k % 5 == 0, "Reverse").otherwise("Forward").alias("journey_type"),
+    )
+
+
+def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The partners' bookings: one per package of every third order."""
+    k = F.col("order_code")
+    return packages(spark, sf_dir).filter(k % 3 == 0).select(
+        "package_code",
+        F.when(k % 2 == 0, "carrybee").otherwise("pathao").alias("partner_name"),
+        F.when(k % 5 != 1, F.col("created_ts") + F.expr("INTERVAL 2 HOURS")).alias("booking_date"),
+        _pick(k % 4, BOOKING_STATES).alias("order_status"),
+    )
+
+
+def journey_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with the package of ``packages`` and the columns that only journeys read."""
+    k, supp, part = F.col("order_code"), F.col("seller_id"), F.col("product_id")
+    return order_lines(spark, sf_dir).withColumns(
+        {
+            "package_code": _package_code(k, supp),
+            "fulfillment_type": F.when(supp != 2, F.lit(1)),
+            "product_name": F.concat(F.lit("Part "), part.cast("string"), F.when(part % 50 == 0, " (Not for Sale)").otherwise("")),
+            "cancel_reason_description": F.when(k % 12 == 0, "test order").when(k % 12 == 1, "customer called"),
+            "seller_status": F.when(k % 3 == 0, "Shipped").otherwise("Packed"),
+            "updated_ts": F.col("order_ts") + F.expr("INTERVAL 3 DAYS"),
+        }
+    )
+
+
+def journey_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, supp = F.col("order_code"), F.col("seller_id")
+    l = order_lines(spark, sf_dir).filter(F.col("return_created_ts").isNotNull())
+    tail = F.concat(k.cast("string"), *[x for c in ("variant_id", "product_id", "seller_id") for x in (F.lit("-"), F.col(c).cast("string"))])
+    return l.select(
+        F.concat(F.lit("RT"), tail).alias("return_code"),
+        F.when(k % 4 != 0, F.concat(F.lit("RP"), tail)).alias("return_package_code"),
+        _package_code(k, supp).alias("original_package_code"),
+        "order_code", "variant_id", "is_failed_delivery", "is_qc", "return_reason", F.col("return_qty_raw").alias("return_qty"),
+        F.when(k % 2 == 0, "Return Confirm").otherwise("In QC").alias("return_status"),
+        F.when(k % 9 == 0, "box was open").alias("return_reason_description"),
+        F.when(k % 3 == 0, "Bank").alias("refund_method"),
+        "return_created_ts",
+        (F.col("return_created_ts") + F.expr("INTERVAL 1 DAYS") + (F.col("product_id") % 24) * F.expr("INTERVAL 1 HOURS"))
+        .alias("return_pkg_created_ts"),
+    )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from souk.plans import journey as J
 from souk.plans import kpi
 from souk.sources import io as IO
+from souk.sources.testviews import EVENT_STATUSES
 from tests.conftest import rows
 
 
@@ -26,8 +27,8 @@ def _log(spark, seed=3):
 
 def test_pivot_equals_filter_min(spark):
     log = J.parsed_log(_log(spark))
-    pv = J.milestone_pivot(log, "package_code", "status", "status_ts", J.PACKAGE_STATUSES)
-    for s in J.PACKAGE_STATUSES:
+    pv = J.milestone_pivot(log, "package_code", "status", "status_ts", EVENT_STATUSES)
+    for s in EVENT_STATUSES:
         direct = log.filter(F.col("status") == s).groupBy("package_code").agg(F.min("status_ts").alias(s))
         got = pv.select("package_code", s).filter(F.col(s).isNotNull())
         assert rows(got) == rows(direct)
@@ -35,8 +36,8 @@ def test_pivot_equals_filter_min(spark):
 
 def test_permutation_invariance(spark):
     log = _log(spark)
-    a = J.package_journey(log, _partner(spark))
-    b = J.package_journey(log.orderBy(F.rand(11)).repartition(5), _partner(spark).orderBy(F.rand(5)))
+    a = J.status_journey(log, _partner(spark), EVENT_STATUSES)
+    b = J.status_journey(log.orderBy(F.rand(11)).repartition(5), _partner(spark).orderBy(F.rand(5)), EVENT_STATUSES)
     assert rows(a) == rows(b)
     bd = spark.createDataFrame(
         [(dt.date(2024, 1, 1 + (i * 7) % 28), i % 9) for i in range(60)], "order_date date, customer_id long"
