@@ -30,8 +30,7 @@ rb AS (
   SELECT m4.* EXCLUDE (phone), tree.vertical, tree.cat1, tree.deepest_category,
     COALESCE(regexp_extract(trim(phone), '(?s)1.*', 0), '') AS phone,
     NULLIF(substring(regexp_extract(translate(address, '০১২৩৪৫৬৭৮৯', '0123456789'),
-      '(^|[^0-9])(01[0-9]{{9}})([^0-9]|$)', 2), 2, 10), '') AS phone_from_address,
-    CASE WHEN payment_method = 'CARD' THEN CAST(order_code % 30 AS DECIMAL(18,2)) END AS discount_amount
+      '(^|[^0-9])(01[0-9]{{9}})([^0-9]|$)', 2), 2, 10), '') AS phone_from_address
   FROM m4 LEFT JOIN tree ON m4.category_id = tree.category_id
 ),
 base AS (

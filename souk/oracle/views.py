@@ -40,6 +40,7 @@ SELECT
   CASE WHEN o.o_orderkey % 7 <> 0 THEN CAST(100 - o.o_orderkey % 7 * 10 AS DECIMAL(18,2)) END AS seller_percent,
   CASE o.o_orderpriority WHEN '1-URGENT' THEN 'CARD' WHEN '2-HIGH' THEN 'BKASH'
        WHEN '3-MEDIUM' THEN 'COD' WHEN '5-LOW' THEN 'COD' END AS payment_method,
+  CASE WHEN o.o_orderpriority = '1-URGENT' THEN CAST(o.o_orderkey % 30 AS DECIMAL(18,2)) END AS discount_amount,
   (o.o_orderstatus = 'F' OR o.o_orderpriority IN ('1-URGENT', '2-HIGH')) AS is_paid,
   (o.o_orderkey % 4 <> 0) AS is_crm_confirm,
   CASE o.o_orderstatus WHEN 'F' THEN 'Delivered' WHEN 'O' THEN 'Pending' WHEN 'P' THEN 'Canceled' END

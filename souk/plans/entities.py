@@ -87,7 +87,7 @@ RISK_COLUMNS = [
 
 def risk_lines(lines: DataFrame, tree: DataFrame | None = None) -> DataFrame:
     """Order-report lines as the risk engine reads them: money columns,
-    cleaned phone, phone found in the address, prepayment discount."""
+    cleaned phone, phone found in the address."""
     out = M.shipping_allocation(M.voucher_allocation(lines))
     if tree is not None:
         t = tree.select("category_id", "vertical", "cat1", "deepest_category")
@@ -96,7 +96,6 @@ def risk_lines(lines: DataFrame, tree: DataFrame | None = None) -> DataFrame:
         {
             "phone": X.fix_phone("phone"),
             "phone_from_address": X.phone_from_address("address"),
-            "discount_amount": F.when(F.col("payment_method") == "CARD", (F.col("order_code") % 30).cast(DEC)),
         }
     )
 

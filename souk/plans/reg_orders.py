@@ -10,8 +10,9 @@ from souk.operators import dedupe as W
 from souk.operators import filters as FL
 from souk.operators import joins as JN
 from souk.oracle.orders_sql import BEST_TXN, OM_EXPORT, RETURN_MASTER, category_tree_ctes, order_master_ctes, order_report_ctes
-from souk.oracle.views import with_views
+from souk.oracle.views import package_log_sql, with_views
 from souk.plans import category, orders
+from souk.plans.milestones import ATTEMPT_MILESTONES
 from souk.registry import AS_OF, SINCE, register
 from souk.sources import testviews as tv
 
@@ -94,29 +95,43 @@ def _order_report(spark, d):
 
 
 # ------------------------------------------------------------ C26
-@register(
-    "risk_extract",
-    lambda: with_views(
-        ["order_lines", "categories", "industries", "returns", "transactions"],
+def _risk_extract_sql() -> str:
+    attempts = ", ".join(
+        f"MIN(CASE WHEN {c} = '{v}' THEN strptime(transaction_time, '%d/%m/%Y %I:%M:%S %p') END) AS {name}"
+        for name, c, v in ATTEMPT_MILESTONES
+    )
+    money = ["total_price", "shipping_cost", "voucher_discount", "seller_discount", "platform_discount", "order_value",
+             "transaction_amount"]
+    cast = ", ".join(f"CAST(om.{c} AS DOUBLE) AS {c}" for c in money)
+    plain = [c for c in orders.MASTER_EXTRACT if c not in {*money, "order_date", "delivered_ts", "eligible_for_refund"}]
+    return with_views(
+        ["order_lines", "journey_lines", "categories", "industries", "returns", "transactions"],
         f"""WITH {order_master_ctes(AS_OF)},
+pl AS ({package_log_sql(tv.LOG_STATUSES)}),
+att AS (SELECT package_code, {attempts} FROM pl GROUP BY package_code),
 who AS (
-  SELECT DISTINCT order_code, variant_id, product_id, device_id, phone,
+  SELECT DISTINCT order_code, variant_id, product_id, l.package_code, is_crm_confirm, device_id, phone, address, shipping_state,
+    shipping_city, shipping_zone, free_shipping_id,
     NULLIF(substring(regexp_extract(translate(address, '০১২৩৪৫৬৭৮৯', '0123456789'),
       '(^|[^0-9])(01[0-9]{{9}})([^0-9]|$)', 2), 2, 10), '') AS phone_from_address,
-    CASE WHEN cancelled_ts IS NOT NULL THEN '3' WHEN return_created_ts IS NOT NULL THEN '2' ELSE '1' END
+    CASE WHEN second_pickup_attempt IS NOT NULL THEN '3' WHEN first_pickup_attempt IS NOT NULL THEN '2' ELSE '1' END
+      AS pickup_attempt_number,
+    CASE WHEN second_delivery_attempt IS NOT NULL THEN '3' WHEN first_delivery_attempt IS NOT NULL THEN '2' ELSE '1' END
       AS delivery_attempt_number
-  FROM order_lines
+  FROM journey_lines l LEFT JOIN att ON l.package_code = att.package_code
 )
-SELECT DISTINCT strftime(om.order_date, '%Y-%m-%d') AS order_date, om.order_code, om.variant_id, om.product_id,
-  customer_id, seller_id, qty, CAST(total_price AS DOUBLE) AS total_price, customer_status, return_qty,
-  deepest_category, device_id, phone, phone_from_address, delivery_attempt_number
+SELECT DISTINCT strftime(om.order_date, '%Y-%m-%d') AS order_date, strftime(om.delivered_ts, {TS}) AS delivered_ts,
+  strftime(om.eligible_for_refund, '%Y-%m-%d') AS eligible_for_refund, {", ".join("om." + c for c in plain)}, {cast},
+  LEAST(COALESCE(om.return_qty, om.qty), om.qty) AS return_qty, who.* EXCLUDE (order_code, variant_id, product_id)
 FROM om LEFT JOIN who ON om.order_code = who.order_code AND om.variant_id = who.variant_id
   AND om.product_id = who.product_id
 WHERE om.order_date >= DATE '{RISK_SINCE}'""",
-    ),
-)
+    )
+
+
+@register("risk_extract", _risk_extract_sql)
 def _risk_extract(spark, d):
-    return orders.risk_extract(_master(spark, d), tv.order_lines(spark, d), RISK_SINCE)
+    return orders.risk_extract(_master(spark, d), tv.journey_lines(spark, d), tv.package_log(spark, d), RISK_SINCE)
 
 
 # ------------------------------------------------------------ W01 / W02 / W04 / W09 / A01 / A03

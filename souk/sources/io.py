@@ -8,11 +8,12 @@ reference's row-by-row fallbacks).
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 # --------------------------------------------------------------------- S01/S02
@@ -75,19 +76,25 @@ def incremental_window_scan(events: DataFrame, ts: str, lo, hi, where: Column |
 def sheet_csv_source(
     spark: SparkSession, path: str, header_row: int = 0, schema: StructType | None = None
 ) -> DataFrame:
-    """CSV exported from a spreadsheet; the header is on line ``header_row``
-    (0 or 1).  Lines above the header are dropped by line index, then the
-    remaining lines are parsed by the CSV reader."""
+    """CSV exported from a spreadsheet (one file); the header is on line
+    ``header_row``.  Only the lines down to the header reach the driver.
+    The rest is parsed where it is read; blank lines and lines that repeat
+    the header or a line above it are no rows, as in the CSV reader."""
     if header_row == 0:
         reader = spark.read.option("header", True).option("multiLine", False)
         if schema is not None:
             reader = reader.schema(schema)
         return reader.csv(path)
-    lines = spark.read.text(path).rdd.zipWithIndex().filter(lambda t: t[1] >= header_row).map(lambda t: t[0][0])
-    reader = spark.read.option("header", True)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(lines)
+    lines = spark.read.text(path)
+    top = [r.value for r in lines.head(header_row + 1)]
+    if len(top) <= header_row:
+        raise ValueError(f"{path} has no line {header_row}")
+    if schema is None:
+        names = next(csv.reader([top[header_row]]))
+        schema = StructType([StructField(n, StringType()) for n in names])
+    ddl = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
+    rows = lines.filter((F.trim("value") != "") & ~F.col("value").isin(*top))
+    return rows.select(F.from_csv("value", ddl).alias("r")).select("r.*")
 
 
 # ------------------------------------------------------------------------ S05

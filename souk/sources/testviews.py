@@ -115,6 +115,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(fs_id != 0, (fs_id * 10).cast(DEC)).alias("admin_percent"),
         F.when(fs_id != 0, (F.lit(100) - fs_id * 10).cast(DEC)).alias("seller_percent"),
         payment_method.alias("payment_method"),
+        F.when(payment_method == "CARD", (k % 30).cast(DEC)).alias("discount_amount"),
         F.coalesce((status == "F") | payment_method.isin("CARD", "BKASH"), F.lit(False)).alias("is_paid"),
         (k % 4 != 0).alias("is_crm_confirm"),
         F.when(status == "F", "Delivered").when(status == "O", "Pending").when(status == "P", "Canceled").alias(
