@@ -92,19 +92,27 @@ OM_EXPORT = """strftime(order_date, '%Y-%m-%d') AS order_date, order_code, selle
 def order_report_ctes() -> str:
     elig = ELIGIBLE.format(
         f="r.is_failed_delivery", pm="(payment_method IS NULL OR payment_method NOT IN ('COD'))", q="r.is_qc",
-        pkg="package_created_ts", rc="m4.return_created_ts",
+        pkg="r.return_pkg_created_ts", rc="r.return_created_ts",
     )
     return f"""{category_tree_ctes()},
-m0 AS (SELECT *, CAST(NULL AS BIGINT) AS total_returns FROM order_lines),
+m0 AS (SELECT *, CAST(NULL AS BIGINT) AS total_returns FROM report_lines),
 {MONEY_CTES},
+r AS (SELECT * FROM (
+  SELECT *, CASE WHEN is_failed_delivery = FALSE THEN ROW_NUMBER() OVER (PARTITION BY order_code, variant_id
+      ORDER BY return_pkg_created_ts DESC NULLS FIRST, return_code DESC) ELSE 1 END AS rk FROM report_returns) WHERE rk = 1),
+rq AS (SELECT order_code, variant_id, SUM(return_qty) AS total_returns FROM report_returns
+  WHERE is_failed_delivery IS FALSE AND is_qc IS TRUE GROUP BY order_code, variant_id),
 rep AS (
-  SELECT m4.order_date, m4.order_code, seller_order_code, m4.customer_id, device_id, phone, address, shipping_state,
-    shipping_city, shipping_zone, seller_id, m4.product_id, m4.variant_id, m4.category_id, tree.vertical, tree.cat1,
-    tree.deepest_category, qty, total_price, voucher_code, free_shipping_id, payment_method, customer_status,
-    cancel_reason, r.return_code, r.is_failed_delivery, r.is_qc, LEAST(r.return_qty, qty) AS return_qty,
-    {elig} AS eligible_for_refund, customer_shipping, platform_shipping, seller_shipping, package_code
+  SELECT m4.* EXCLUDE (is_failed_delivery, is_qc, return_reason, package_code, return_qty, total_returns), tree.vertical, tree.cat1,
+    tree.deepest_category, r.is_failed_delivery, r.is_qc, r.return_reason, p.package_code,
+    CASE WHEN rq.total_returns IS NULL THEN r.return_qty WHEN r.return_qty IS NULL OR rq.total_returns < r.return_qty
+      THEN rq.total_returns ELSE r.return_qty END AS return_qty,
+    r.rtm_delivery_rider_id, r.rtm_delivery_rider_name, r.rtc_delivery_rider_name, {elig} AS eligible_for_refund
   FROM m4
   LEFT JOIN tree ON m4.category_id IS NOT DISTINCT FROM tree.category_id
-  LEFT JOIN returns r ON m4.order_code IS NOT DISTINCT FROM r.order_code AND m4.variant_id IS NOT DISTINCT FROM r.variant_id
-  WHERE seller_id IS NULL OR seller_id NOT IN (1, 3)
+  LEFT JOIN r ON m4.order_code IS NOT DISTINCT FROM r.order_code AND m4.variant_id IS NOT DISTINCT FROM r.variant_id
+  LEFT JOIN (SELECT * FROM packages WHERE is_qc IS FALSE) p
+    ON m4.seller_order_code IS NOT DISTINCT FROM p.order_id AND m4.source_hub IS NOT DISTINCT FROM p.source_hub
+  LEFT JOIN rq ON m4.order_code IS NOT DISTINCT FROM rq.order_code AND m4.variant_id IS NOT DISTINCT FROM rq.variant_id
+  WHERE (seller_id IS NULL OR seller_id NOT IN (1, 3)) AND COALESCE(lower(tree.deepest_category) <> 'packaging material', TRUE)
 )"""

@@ -166,6 +166,7 @@ SELECT {_LINE_CODE} AS package_code, l_orderkey AS order_code,
   CASE WHEN l_suppkey % 3 <> 0 THEN 'First' || CAST(l_suppkey AS VARCHAR) END AS seller_first_name,
   'Last' || CAST(l_suppkey AS VARCHAR) AS seller_last_name,
   CASE WHEN l_suppkey % 4 <> 3 THEN l_suppkey % 4 = 1 END AS is_drop_to_hub,
+  CASE WHEN l_orderkey % 16 <> 1 THEN l_orderkey % 8 = 0 END AS is_qc,
   CAST(SUM(CAST(CAST(l_partkey % 20 + 1 AS DECIMAL(18,2)) * 0.25 AS DECIMAL(18,2)) * CAST(l_quantity AS BIGINT)) AS DECIMAL(18,2))
     AS total_package_weight_in_kg,
   CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS packed_qty,
@@ -207,6 +208,31 @@ FROM (SELECT *, CAST(order_code AS VARCHAR) || '-' || CAST(variant_id AS VARCHAR
         || CAST(seller_id AS VARCHAR) AS tail FROM order_lines WHERE return_created_ts IS NOT NULL)
 """
 
+VIEWS["report_lines"] = """
+SELECT *, 'Customer ' || CAST(customer_id AS VARCHAR) AS customer_name,
+  CASE WHEN customer_id % 7 <> 0 THEN 'Receiver ' || CAST(customer_id AS VARCHAR) END AS receiver_name,
+  CASE WHEN order_code % 13 <> 0 THEN 'Hub ' || CAST(seller_id % 7 AS VARCHAR) END AS source_hub,
+  CASE order_code % 6 WHEN 0 THEN '3PL' WHEN 1 THEN 'Tongi Hub' WHEN 2 THEN 'Patenga Hub' WHEN 3 THEN 'Uttara Hub'
+    WHEN 4 THEN 'Faraway Hub' WHEN 5 THEN 'Carry Bee' END AS destination_hub,
+  CASE WHEN seller_id % 4 = 1 THEN 'Drop-Off' ELSE 'Pickup' END AS seller_type,
+  'SKU' || CAST(product_id AS VARCHAR) || '-' || CAST(seller_id AS VARCHAR) AS shop_sku,
+  'Variant ' || CAST(variant_id AS VARCHAR) AS variant_name, product_id % 40 AS current_stock_qty,
+  CASE WHEN voucher_code IS NOT NULL THEN order_code % 5 END AS voucher_id,
+  CASE WHEN voucher_code IS NOT NULL THEN 'Voucher ' || CAST(order_code % 5 AS VARCHAR) END AS voucher_description,
+  CAST(updated_ts AS DATE) AS last_updated, seller_id % 30 AS pick_up_rider_id,
+  CASE WHEN order_code % 10 <> 3 THEN order_code % 30 END AS delivery_rider_id,
+  CASE WHEN order_code % 10 <> 3 THEN 'Rider ' || CAST(order_code % 30 AS VARCHAR) END AS delivery_rider_full_name,
+  CASE order_code % 4 WHEN 0 THEN 'Delivered' WHEN 1 THEN 'Pending At LM' WHEN 2 THEN 'Assigned Delivery Man' END AS logistic_status,
+  CASE WHEN is_failed_delivery THEN 'Customer not found' END AS failed_deliver_reason
+FROM journey_lines
+"""
+
+VIEWS["report_returns"] = """
+SELECT *, order_code % 30 AS rtm_delivery_rider_id, 'RTM ' || CAST(order_code % 30 AS VARCHAR) AS rtm_delivery_rider_name,
+  CASE WHEN order_code % 2 = 0 THEN 'RTC ' || CAST(order_code % 30 AS VARCHAR) END AS rtc_delivery_rider_name
+FROM journey_returns
+"""
+
 # view -> views it reads (beyond the driver tables)
 DEPENDS = {
     "order_lines": ["order_lines_base"],
@@ -214,6 +240,8 @@ DEPENDS = {
     "bookings": ["packages"],
     "journey_lines": ["order_lines"],
     "journey_returns": ["order_lines"],
+    "report_lines": ["journey_lines"],
+    "report_returns": ["journey_returns"],
 }
 
 

@@ -73,25 +73,27 @@ def _payment_order(spark, d):
 
 
 # ------------------------------------------------------------ C02
-@register(
-    "order_report",
-    lambda: with_views(
-        ["order_lines", "categories", "industries", "returns"],
-        f"""WITH {order_report_ctes()}
-SELECT strftime(order_date, '%Y-%m-%d') AS order_date, order_code, seller_order_code, customer_id, device_id, phone,
-  address, shipping_state, shipping_city, shipping_zone, seller_id, product_id, variant_id, category_id, vertical, cat1,
-  deepest_category, qty, CAST(total_price AS DOUBLE) AS total_price, voucher_code, free_shipping_id, payment_method,
-  customer_status, cancel_reason, return_code, is_failed_delivery, is_qc, return_qty,
-  strftime(eligible_for_refund, '%Y-%m-%d') AS eligible_for_refund,
-  CAST(customer_shipping AS DOUBLE) AS customer_shipping, CAST(platform_shipping AS DOUBLE) AS platform_shipping,
-  CAST(seller_shipping AS DOUBLE) AS seller_shipping, package_code,
-  CAST(NULL AS VARCHAR) AS logistic_status, CAST(NULL AS VARCHAR) AS failed_deliver_reason,
-  CAST(NULL AS VARCHAR) AS rider_name, CAST(NULL AS VARCHAR) AS rider_phone
-FROM rep""",
-    ),
-)
+def _order_report_sql() -> str:
+    """Every column of the layout; those that no input has are NULL."""
+    given = set(tv.REPORT_COLUMNS)
+    types = {"bigint": "BIGINT", "int": "INTEGER", "boolean": "BOOLEAN", "decimal(18,2)": "DOUBLE"}
+
+    def out(name: str, kind: str) -> str:
+        if name not in given:
+            return f"CAST(NULL AS {types.get(kind, 'VARCHAR')}) AS {name}"
+        if kind == "date":
+            return f"strftime(CAST({name} AS DATE), '%Y-%m-%d') AS {name}"
+        return f"CAST({name} AS {types[kind]}) AS {name}" if kind in types else name
+
+    return with_views(
+        ["report_lines", "categories", "industries", "report_returns", "packages"],
+        f"WITH {order_report_ctes()} SELECT {', '.join(out(n, t) for n, t in orders.ORDER_REPORT_LAYOUT)} FROM rep",
+    )
+
+
+@register("order_report", _order_report_sql)
 def _order_report(spark, d):
-    return orders.order_report(tv.order_lines(spark, d), _tree(spark, d), tv.returns(spark, d))
+    return orders.order_report(tv.report_lines(spark, d), _tree(spark, d), tv.report_returns(spark, d), tv.packages(spark, d))
 
 
 # ------------------------------------------------------------ C26

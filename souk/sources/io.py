@@ -81,7 +81,7 @@ def sheet_csv_source(
     The rest is parsed where it is read; blank lines and lines that repeat
     the header or a line above it are no rows, as in the CSV reader."""
     if header_row == 0:
-        reader = spark.read.option("header", True).option("multiLine", False)
+        reader = spark.read.option("header", True).option("multiLine", False).option("escape", '"')
         if schema is not None:
             reader = reader.schema(schema)
         return reader.csv(path)
@@ -94,7 +94,7 @@ def sheet_csv_source(
         schema = StructType([StructField(n, StringType()) for n in names])
     ddl = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
     rows = lines.filter((F.trim("value") != "") & ~F.col("value").isin(*top))
-    return rows.select(F.from_csv("value", ddl).alias("r")).select("r.*")
+    return rows.select(F.from_csv("value", ddl, {"escape": '"'}).alias("r")).select("r.*")
 
 
 # ------------------------------------------------------------------------ S05

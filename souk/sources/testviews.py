@@ -390,6 +390,7 @@ def packages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(supp % 3 != 0, F.concat(F.lit("First"), supp.cast("string"))).alias("seller_first_name"),
         F.concat(F.lit("Last"), supp.cast("string")).alias("seller_last_name"),
         F.when(supp % 4 != 3, supp % 4 == 1).alias("is_drop_to_hub"),
+        F.when(k % 16 != 1, k % 8 == 0).alias("is_qc"),
         "total_package_weight_in_kg",
         "packed_qty",
         "packed_amount",
@@ -445,3 +446,55 @@ def journey_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("return_created_ts") + F.expr("INTERVAL 1 DAYS") + (F.col("product_id") % 24) * F.expr("INTERVAL 1 HOURS"))
         .alias("return_pkg_created_ts"),
     )
+
+
+#: Columns of the order report that the test data can fill.
+REPORT_COLUMNS = [
+    "order_date", "order_code", "seller_order_code", "is_failed_delivery", "is_qc", "customer_id", "customer_name", "receiver_name",
+    "address", "phone", "device_id", "shipping_state", "shipping_city", "shipping_zone", "source_hub", "destination_hub",
+    "seller_id", "seller_code", "shop_name", "seller_type", "seller_status", "customer_status", "product_id", "variant_id",
+    "shop_sku", "product_name", "variant_name", "current_stock_qty", "vertical", "cat1", "deepest_category", "qty", "total_price",
+    "shipping_cost", "voucher_id", "free_shipping_id", "customer_shipping", "platform_shipping", "seller_shipping",
+    "voucher_discount", "seller_discount", "platform_discount", "order_value", "payment_method", "discount_amount",
+    "voucher_description", "is_paid", "cancel_reason", "return_reason", "last_updated", "return_qty", "eligible_for_refund",
+    "pick_up_rider_id", "delivery_rider_id", "delivery_rider_full_name", "rtm_delivery_rider_id", "rtm_delivery_rider_name",
+    "rtc_delivery_rider_name", "package_code", "is_crm_confirm", "logistic_status", "voucher_code", "failed_deliver_reason",
+    "cancel_reason_description",
+]
+
+
+def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with the names, stock and riders that the order report carries."""
+    k, cust, supp, part = F.col("order_code"), F.col("customer_id"), F.col("seller_id"), F.col("product_id")
+    text = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts])
+    return journey_lines(spark, sf_dir).withColumns(
+        {
+            "customer_name": text("Customer ", cust),
+            "receiver_name": F.when(cust % 7 != 0, text("Receiver ", cust)),
+            "source_hub": F.when(k % 13 != 0, text("Hub ", supp % 7)),
+            "destination_hub": _pick(k % 6, HUBS),
+            "seller_type": F.when(supp % 4 == 1, "Drop-Off").otherwise("Pickup"),
+            "shop_sku": text("SKU", part, "-", supp),
+            "variant_name": text("Variant ", F.col("variant_id")),
+            "current_stock_qty": part % 40,
+            "voucher_id": F.when(F.col("voucher_code").isNotNull(), k % 5),
+            "voucher_description": F.when(F.col("voucher_code").isNotNull(), text("Voucher ", k % 5)),
+            "last_updated": F.to_date("updated_ts"),
+            "pick_up_rider_id": supp % 30,
+            "delivery_rider_id": F.when(k % 10 != 3, k % 30),
+            "delivery_rider_full_name": F.when(k % 10 != 3, text("Rider ", k % 30)),
+            "logistic_status": _pick(k % 4, PACKAGE_STATES),
+            "failed_deliver_reason": F.when(F.col("is_failed_delivery"), "Customer not found"),
+        }
+    )
+
+
+def report_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("order_code")
+    return journey_returns(spark, sf_dir).withColumns(
+        {
+            "rtm_delivery_rider_id": k % 30,
+            "rtm_delivery_rider_name": F.concat(F.lit("RTM "), (k % 30).cast("string")),
+            "rtc_delivery_rider_name": F.when(k % 2 == 0, F.concat(F.lit("RTC "), (k % 30).cast("string"))),
+        }
+    )
