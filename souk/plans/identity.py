@@ -5,8 +5,7 @@ min-label propagation with pointer jumping.  Each round is two
 aggregations and two joins; the label table is cut from its lineage with
 ``checkpoint()`` (reliable, in the cluster's ``spark.checkpoint.dir``) so
 a lost executor recomputes one round, not the whole history.  The loop
-stops when a round changes no label; a round cap raises instead of
-returning a partial answer.
+stops when a round changes no label.
 
 Node namespaces are kept apart as in the source: an entity row
 (``E:type:value``), a customer (``C:id``) and a phone written in an
@@ -24,46 +23,76 @@ from souk.plans.entities import KEY
 DEVICE = "DeviceID"
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def split_hubs(edges: DataFrame, hub_links: int) -> DataFrame:
+    """``edges(a, b)`` where no ``b`` has far more than ``hub_links`` links:
+    a hub's links go to helper nodes, one per ``hub_links`` of them, and the
+    helpers to the hub.  Who is connected with whom stays the same.  A
+    helper's name extends the hub's, so it is never the smallest node."""
+    hubs = (
+        edges.groupBy("b")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > hub_links)
+        .select(F.col("b").alias("hub"), F.ceil(F.col("n") / hub_links).alias("parts"))
+    )
+    j = edges.join(hubs, F.col("b") == F.col("hub"), "left")
+    helper = F.concat("b", F.lit("\x01"), F.pmod(F.xxhash64("a"), "parts").cast("string"))
+    near = j.select("a", F.when(F.col("hub").isNull(), F.col("b")).otherwise(helper).alias("b"))
+    far = hubs.select(
+        F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.concat("hub", F.lit("\x01"), k.cast("string")))).alias("a"),
+        F.col("hub").alias("b"),
+    )
+    return near.unionByName(far)
+
+
+def connected_components(edges: DataFrame, hub_links: int = 10_000) -> DataFrame:
     """``edges(src, dst)`` (strings) -> ``(node, component)`` where the
-    component is the smallest node id of the node's component."""
+    component is the smallest node id of the node's component.
+
+    A node with more than ``hub_links`` links is split (see ``split_hubs``),
+    so no task of a round holds a hub's links alone."""
     from souk.session import ensure_checkpoint_dir
 
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    one_way = edges.select(F.col("src").alias("a"), F.col("dst").alias("b")).filter(F.col("a") != F.col("b")).distinct()
+    # both ends may be hubs: first the links into each ``b``, then those into each ``a``
+    into_b = split_hubs(one_way, hub_links)
+    into_a = split_hubs(into_b.select(F.col("b").alias("a"), F.col("a").alias("b")), hub_links)
+    links = into_a.distinct()
     # adjacency in both directions, hash-partitioned by the node whose label
     # is looked up; checkpointing keeps that partitioning, so the per-round
     # join with the (equally partitioned) label table needs no exchange
-    sym = (
-        edges.select(F.col("src").alias("a"), F.col("dst").alias("b"))
-        .unionByName(edges.select(F.col("dst").alias("a"), F.col("src").alias("b")))
-        .filter(F.col("a") != F.col("b"))
-        .distinct()
-        .repartition(n, "b")
-        .checkpoint()
+    sym = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().repartition(n, "b").checkpoint()
+    own = edges.select(F.col("src").alias("b")).unionByName(edges.select(F.col("dst").alias("b"))).distinct()
+    nodes = (
+        own.select("b", F.lit(True).alias("own"))
+        .unionByName(sym.select("b", F.lit(False).alias("own")))
+        .groupBy("b")
+        .agg(F.max("own").alias("own"))
     )
-    nodes = edges.select(F.col("src").alias("node")).unionByName(edges.select(F.col("dst").alias("node"))).distinct()
-    labels = nodes.select(F.col("node").alias("b"), F.col("node").alias("label")).repartition(n, "b").checkpoint()
+    labels = nodes.select("b", F.col("b").alias("label"), "own").repartition(n, "b").checkpoint()
     while True:
         # 1. new label = min(own label, neighbours' labels); one map-side
         #    combined aggregate (a hub node costs one partial min per task)
-        cand = labels.select(F.col("b").alias("node"), "label", F.col("label").alias("own")).unionByName(
-            sym.join(labels, "b").select(F.col("a").alias("node"), "label", F.lit(None).cast("string").alias("own"))
+        cand = labels.select(F.col("b").alias("node"), "label", F.col("label").alias("old"), "own").unionByName(
+            sym.join(labels, "b").select(
+                F.col("a").alias("node"), "label", F.lit(None).cast("string").alias("old"), F.lit(None).cast("boolean").alias("own")
+            )
         )
-        step = cand.groupBy("node").agg(F.min("label").alias("label"), F.min("own").alias("old"))
+        step = cand.groupBy("node").agg(F.min("label").alias("label"), F.min("old").alias("old"), F.max("own").alias("own"))
         # 2. pointer jumping: a label is itself a node; take its label
         look = step.select(F.col("node").alias("l_node"), F.col("label").alias("l_label"))
         jumped = (
             step.join(look, step["label"] == look["l_node"], "left")
-            .select(F.col("node").alias("b"), F.least("label", F.coalesce("l_label", "label")).alias("label"), "old")
+            .select(F.col("node").alias("b"), F.least("label", F.coalesce("l_label", "label")).alias("label"), "old", "own")
             .repartition(n, "b")
             .checkpoint()
         )
         changed = jumped.filter(F.col("label") != F.col("old")).limit(1).count()
         labels = jumped.drop("old")
         if changed == 0:
-            return labels.select(F.col("b").alias("node"), F.col("label").alias("component"))
+            return labels.filter("own").select(F.col("b").alias("node"), F.col("label").alias("component"))
 
 
 def entity_node(type_col: str = "entity_type", entity_col: str = "entity"):

@@ -7,6 +7,7 @@ import datetime as dt
 import random
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 
 from souk.plans import entities as EN
@@ -89,16 +90,18 @@ def _union_find(edges):
     return {n: find(n) for n in list(parent)}
 
 
-def test_components_match_union_find(spark):
+@pytest.mark.parametrize("hub_links", [10_000, 3])
+def test_components_match_union_find(spark, hub_links):
     rnd = random.Random(7)
     n = 60
     edges = [(f"n{i:03d}", f"n{i + 1:03d}") for i in range(0, 20)]  # chain
     edges += [("n030", f"n{j:03d}") for j in range(31, 40)]  # star
+    edges += [(f"m{j:03d}", "n038") for j in range(20)] + [("n038", f"k{j:03d}") for j in range(20)]  # hub on both ends
     edges += [("n040", "n041"), ("n041", "n042"), ("n042", "n040")]  # cycle
     edges += [(f"n{rnd.randrange(43, n):03d}", f"n{rnd.randrange(43, n):03d}") for _ in range(10)]
     edges += [("n099", "n099")]  # isolated (self loop only)
     df = spark.createDataFrame(edges, "src string, dst string")
-    got = {r.node: r.component for r in ID.connected_components(df).collect()}
+    got = {r.node: r.component for r in ID.connected_components(df, hub_links).collect()}
     want = _union_find(edges)
     assert got == {k: v for k, v in want.items()}
 
