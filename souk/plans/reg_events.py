@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from souk.oracle.views import with_views
 from souk.registry import register
+from souk.sources import io as IO
 from souk.sources import testviews as tv
 from souk.streaming import events as EV
 
@@ -110,10 +111,16 @@ SLICE = f"""(SELECT * FROM user_events WHERE (product_id IS NOT NULL OR product_
 
 @register(
     "incremental_window_scan",
-    lambda: with_views(["user_events"], f"SELECT {', '.join(RAW_COLS)} FROM {SLICE}"),
+    lambda: with_views(
+        ["user_events"],
+        f"""SELECT {', '.join(RAW_COLS)} FROM user_events WHERE (product_id IS NOT NULL OR product_variant_id IS NOT NULL)
+  AND source_ts > TIMESTAMP '{WATERMARK}' AND source_ts <= TIMESTAMP '{WINDOW_HI}'""",
+    ),
 )
 def _incremental_window_scan(spark, d):
-    return EV.window_slice(_raw(spark, d), WATERMARK, WINDOW_HI)
+    ids = F.col("product_id").isNotNull() | F.col("product_variant_id").isNotNull()
+    lo, hi = (F.lit(x).cast("timestamp_ntz") for x in (WATERMARK, WINDOW_HI))
+    return IO.incremental_window_scan(tv.user_events(spark, d), "source_ts", lo, hi, ids).select(*RAW_COLS)
 
 
 @register(
@@ -154,7 +161,8 @@ def _watermark_state(spark, d):
 def _incremental_append(spark, d):
     p, v = _lookups(spark, d)
     path = scratch(spark, "incremental-append")
-    EV.incremental_append(_raw(spark, d), p, v, path, WATERMARK, WINDOW_HI, window_hours=48)
+    raw = tv.user_events(spark, d)
+    EV.incremental_append(raw, p, v, path, WATERMARK, WINDOW_HI, window_hours=48, ts_col="source_ts")
     return spark.read.parquet(path).drop("batch_id")
 
 

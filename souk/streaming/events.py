@@ -125,13 +125,18 @@ def watermark_state(target: DataFrame | None, source: DataFrame, as_of: str, loo
 
 
 # ------------------------------------------------------------------ T02 / S03
-def window_slice(raw: DataFrame, lo, hi) -> DataFrame:
-    """Raw events with ``lo < ts <= hi`` and at least one id present."""
-    ts = F.try_to_timestamp(F.col("event_timestamp"))
+def window_slice(raw: DataFrame, lo, hi, ts_col: str = "event_timestamp") -> DataFrame:
+    """Raw events with ``lo < ts <= hi`` and at least one id present.  On a
+    typed ``ts_col`` the range reaches the scan, so a window reads the files
+    and row groups of its time; text is parsed row by row."""
+    kind = raw.schema[ts_col].dataType
+    ts = F.col(ts_col)
+    if isinstance(kind, T.StringType):
+        ts, kind = F.try_to_timestamp(ts), T.TimestampType()
     return raw.filter(
         (F.col("product_id").isNotNull() | F.col("product_variant_id").isNotNull())
-        & (ts > F.lit(lo).cast("timestamp"))
-        & (ts <= F.lit(hi).cast("timestamp"))
+        & (ts > F.lit(lo).cast(kind))
+        & (ts <= F.lit(hi).cast(kind))
     )
 
 
@@ -152,7 +157,7 @@ def windows(lo: str, hi: str, hours: int):
 
 # ------------------------------------------------------------------ T03 / S10
 def incremental_append(raw: DataFrame, products: DataFrame, variants: DataFrame, path: str, lo: str, hi: str,
-                       window_hours: int = 24) -> int:
+                       window_hours: int = 24, ts_col: str = "event_timestamp") -> int:
     """Load ``(lo, hi]`` window by window into ``path``; each window is its
     own ``batch_id`` folder, named by the window's start, so later runs add
     to it and re-running a window replaces just that window (also by no
@@ -162,7 +167,7 @@ def incremental_append(raw: DataFrame, products: DataFrame, variants: DataFrame,
     ws = windows(lo, hi, window_hours)
     for a, b in ws:
         batch = "from-" + "".join(c if c.isdigit() else "-" for c in a)
-        append(event_enrich(window_slice(raw, a, b), products, variants), path, batch_id=batch)
+        append(event_enrich(window_slice(raw, a, b, ts_col), products, variants), path, batch_id=batch)
     return len(ws)
 
 
@@ -188,8 +193,15 @@ def stream_enrich(spark: SparkSession, src: str, allsku: DataFrame, out: str, ck
     """File stream of raw events -> enrichment (stream-static joins) ->
     parquet sink partitioned by event day.  ``availableNow`` processes
     what is there in bounded micro-batches and stops; the checkpoint makes
-    a restart continue where it left off (exactly-once file sink)."""
-    products, variants = catalog_lookup(allsku)
+    a restart continue where it left off (exactly-once file sink).  The
+    look-up tables are written once per run beside the checkpoint, so the
+    micro-batches don't de-duplicate the catalogue again."""
+    lookups = []
+    for name, table in zip(("products", "variants"), catalog_lookup(allsku)):
+        folder = f"{ckpt.rstrip('/')}-lookup/{name}"
+        table.write.mode("overwrite").parquet(folder)
+        lookups.append(spark.read.parquet(folder))
+    products, variants = lookups
     stream = (
         spark.readStream.schema(RAW_EVENT_SCHEMA)
         .option("maxFilesPerTrigger", max_files_per_trigger)
