@@ -3,8 +3,7 @@
 The adjacency list is walked level by level with ``depth - 1`` joins:
 every node of level k is replaced by its children (a node with children
 is not emitted itself), carrying the deepest non-NULL industry down.  The
-adjacency frame is broadcast only after its size is checked; category
-trees are small, but the check keeps the plan safe if one is not.
+planner broadcasts the adjacency frame if it is small, and shuffles it if not.
 """
 
 from __future__ import annotations
