@@ -301,6 +301,48 @@ def test_repeated_passages(spark, odd_docs, no_docs):
     assert substring.repeated_passages(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("n", [50, 54, 60, 70, 90, 130])
+def test_edited_passages_of_any_length_and_place(n):
+    rng = np.random.default_rng(n)
+    t = substring.WORDS - substring.SHINGLE + 1
+
+    def both(passage, edited):
+        texts = [" ".join(f"w{k}" for k in np.concatenate([rng.integers(1000, 1 << 40, 30), p, rng.integers(1000, 1 << 40, 40)])) for p in (passage, edited)]
+        return substring._contents(pa.array(texts))
+
+    for place in range(0, n, 3):
+        for edit in ([999], [], [998, 999]):  # a word changed, left out, put in
+            passage = np.arange(n)
+            edited = np.concatenate([passage[:place], edit, passage[place + (len(edit) < 2) :]]).astype(np.int64)
+            if len(edit) == 2:
+                edited = np.concatenate([passage[:place], [999], passage[place:]])
+            p, q = ({tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in (passage, edited))
+            if min(len(passage), len(edited)) < 50 or len(p & q) < 0.8 * len(p | q):
+                continue
+            a, b = both(passage, edited)
+            found = substring.verified(a, b, t)
+            assert len(found) == 1, (place, edit)
+            i, j, s, e, value = found[0]
+            mine, other = set(a[i:j].tolist()), set(b[s:e].tolist())
+            assert min(j - i, e - s) >= t and math.isclose(value, len(mine & other) / len(mine | other)) and value >= 0.8
+            assert j - i >= len(p) - 10 and i <= 30 + 10 and j >= 30 + len(p) - 10
+
+
+def test_verification_finds_what_all_stretches_hold():
+    rng, seen = np.random.default_rng(2), Counter()
+    for _ in range(250):
+        x, y = rng.integers(100, 1 << 30, 17), rng.integers(100, 1 << 30, 17)
+        y[3:14] = x[3:14]
+        for k in rng.integers(0, 15, rng.integers(0, 3)):
+            y = np.delete(y, k) if rng.random() < 0.3 else np.insert(y, k, 7) if rng.random() < 0.5 else np.where(np.arange(len(y)) == k, 8, y)
+        x, y = x.astype(np.uint32), y.astype(np.uint32)
+        spans = lambda v: [set(v[i:j].tolist()) for i in range(len(v)) for j in range(i + 10, len(v) + 1)]
+        want = any(len(p & q) >= 0.8 * len(p | q) for p in spans(x) for q in spans(y))
+        assert bool(substring.verified(x, y, 10)) == want
+        seen[want] += 1
+    assert min(seen[True], seen[False]) > 20
+
+
 # --- personal data -------------------------------------------------------------------
 
 KINDS = (
