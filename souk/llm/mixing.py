@@ -14,8 +14,10 @@
    sum_i n_i p_i p_i'.  An iteration is one aggregate of K totals over the
    (n, p) table.  Rates need no table of their own: they are a function of
    (n, p) and the K-number residuals so far.
-4. Totals T follow the target weights at the largest budget that needs no
-   domain twice: T_k = weight_k * min_j(N_j / weight_j).
+4. The main domain stays whole and sets the budget, N_main / weight_main; the
+   other domains' weights are ceilings: T_k = min(N_k, weight_k * budget).
+   So a domain that is rare thins no other one.  Without the main domain
+   the budget is the largest that needs no domain twice.
 """
 
 from __future__ import annotations
@@ -32,9 +34,10 @@ from souk.llm.decontam import WORD_BYTE
 from souk.llm.text import LOWER, Shared, checkpointed, empty_text, pieces, utf8, word_bounds, word_hashes
 
 #: Production targets: domains of the labels table and their share of the tokens.
-#: Poor texts are thinned to about one token in nineteen good ones, so that good ones set the
-#: budget and stay; toxic ones go but for a trace.
-TARGETS = {"good": 0.945, "poor": 0.05, "toxic": 0.005}
+#: Poor texts are thinned to about one token in nineteen good ones at most, toxic ones go.
+TARGETS = {"good": 0.95, "poor": 0.05, "toxic": 0.0}
+#: The domain that sets the budget.
+MAIN = "good"
 #: Words that the classifier looks at: those that tell the sample's domains apart best.
 VOCABULARY = 2048
 #: A word must be in so many of the sample's texts.
@@ -232,8 +235,9 @@ def fit_rates(memberships: DataFrame, domains: list[str], targets: dict[str, flo
     want = np.array([targets.get(d, 0.0) for d in domains])
     want = want / want.sum() if want.sum() > 0 else np.full(k, 1 / k)
     live = (want > 0) & (total > 0)
-    budget = (total[live] / want[live]).min() if live.any() else 0.0
-    mix = Mix(domains, want * budget)
+    main = live & (np.array(domains) == MAIN)
+    budget = (total[live] / want[live])[main[live] if main.any() else slice(None)].min() if live.any() else 0.0
+    mix = Mix(domains, np.minimum(want * budget, total))
     if not total.sum():
         mix.totals = total
         return mix

@@ -254,6 +254,22 @@ def test_mixing_meets_reachable_targets(spark, odd_docs, no_docs):
     assert {x.rate for x in mixing.rates(docs, labels.limit(0))[0].collect()} == {1.0}
 
 
+def test_mixing_keeps_a_clean_corpus(spark):
+    import random
+
+    from tests.llm.conftest import words
+
+    rng = random.Random(8)
+    kind = ["toxic" if i % 250 == 0 else "poor" if i % 100 == 1 else "good" for i in range(1500)]
+    rows = [(i, words(rng, 80) + {"toxic": " awful filth" * 12, "poor": " ### |" * 20, "good": ""}[k]) for i, k in enumerate(kind)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(k != "poor"), int(k == "toxic")) for i, k in enumerate(kind)], "doc_id long, quality int, toxic int")
+    told, fit = mixing.mix(docs, labels)
+    kept = {r.doc_id for r in told.filter(mixing.keep(F.col("rate"), F.col("doc_id"))).collect()}
+    share = {d: np.mean([i in kept for i, k in enumerate(kind) if k == d]) for d in fit.domains}
+    assert share["good"] >= 0.95 and share["poor"] >= 0.8 and share["toxic"] == 0
+
+
 # --- repeated passages ---------------------------------------------------------------
 
 
