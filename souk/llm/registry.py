@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souk.llm import ann, chat, decontam, langid, lm, mixing, pii, sharding, simhash, substring
+from souk.llm import ann, chat, decontam, langid, lm, mixing, oracles_chat, pii, repair, sharding, simhash, substring, trie
+from souk.llm.order import stored
 from souk.llm.text import checkpointed, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +100,66 @@ def op10_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, remainder("doc_id", 5) != 1)
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, cut, repeated or given another role by crc32(conv_id:turn) % 20; nulls as one space."""
+    space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(space("conv_id"), F.lit(":"), space("turn")).cast("binary")) % 20
+    rows = conversations.select("conv_id", "turn", space("role").alias("role"), space("text").alias("text"), kind.alias("kind")).filter("kind <> 0")
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    times = F.when(F.col("kind") == 3, 2).otherwise(1)
+    return rows.select(
+        "conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), F.explode(F.sequence(F.lit(1), times)).alias("copy")
+    ).drop("copy")
+
+
+def op11_astar_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired text of every conversation after damage."""
+    table = read(spark, sf_dir, "conversations")
+    rows = stored(repair.inspect(damaged(table)))
+    line = F.when(F.col("role").isNotNull(), F.concat("role", F.lit(":"), "text"))
+    edits = repair.repair(rows).select("conv_id", "cost", F.struct("chunk", "place", "edit", line.alias("line")).alias("e"))
+    told = edits.groupBy(F.col("conv_id").alias("__e")).agg(F.sum("cost").alias("cost"), F.array_sort(F.collect_list("e")).alias("e"))
+    lines = F.filter(F.col("e.line"), lambda x: x.isNotNull())
+    told = told.select("__e", "cost", F.array_join("e.edit", "").alias("audit"), F.sha2(F.array_join(lines, "\n"), 256).alias("repaired_sha256"))
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal"]
+    faults = repair.report(rows).select(F.col("conv_id").alias("__f"), *counts)
+    every = table.select("conv_id").distinct()
+    out = every.join(faults, F.col("conv_id").eqNullSafe(F.col("__f")), "left").join(told, F.col("conv_id").eqNullSafe(F.col("__e")), "left")
+    return out.select(
+        "conv_id", *(F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in [*counts, "cost"]),
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def rebuilt(turns: DataFrame, ids: DataFrame) -> DataFrame:
+    """Every conversation c with the first h turns of c - c % 20 in place of its own first h; h: crc32(c) % 4."""
+    head = F.array_sort(F.collect_list(F.struct("at", "role", "text")))
+    heads = turns.filter("at <= 3").groupBy(F.col("conv_id").alias("__base")).agg(head.alias("head"))
+    plan = ids.select("conv_id", (F.col("conv_id") - F.col("conv_id") % 20).alias("base"), (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4).cast("int").alias("h"))
+    taken = F.coalesce(F.slice("head", F.lit(1), F.col("h")), F.array().cast("array<struct<at:bigint,role:string,text:string>>"))
+    plan = stored(plan.join(heads, F.col("base") == F.col("__base"), "left").select("conv_id", "h", taken.alias("taken")))
+    opening = plan.select("conv_id", F.explode("taken").alias("t")).select("conv_id", "t.*")
+    own = turns.join(plan.select("conv_id", "h", F.size("taken").alias("n")), "conv_id").filter("at > h")
+    return opening.unionByName(own.select("conv_id", (F.col("at") - F.col("h") + F.col("n")).alias("at"), "role", "text"))
+
+
+def op13_bitmap_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of the rebuilt conversations."""
+    table = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = stored(trie.ordered_turns(table))
+    ids = turns.select("conv_id").distinct()
+    nodes, ends = trie.trie(rebuilt(turns, ids), ids)
+    nodes = stored(nodes)
+    lists = F.transform(F.array_sort(F.collect_list(F.struct("shard", F.array_join("ends", ",").alias("ids")))), lambda e: e["ids"])
+    told = ends.groupBy(F.col("node").alias("__n")).agg(F.sha2(F.array_join(lists, ","), 256).alias("ends_sha256"))
+    above = nodes.select(F.col("node").alias("__a"), F.col("conv_id").alias("parent_conv_id"))
+    out = nodes.join(told, F.col("node") == F.col("__n"), "left").join(above, F.col("parent") == F.col("__a"), "left")
+    return out.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -110,7 +171,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_block_matrix_neighbours, op2_soft_mixing, op3_compact_windows, op4_centroid_language, op5_bootstrapped_pii,
         op6_suffix_array_decontamination, op7_prefix_targets, op8_bktree_near_duplicates, op9_bounded_ring_shards,
-        op10_pitman_yor_scores, pipeline,
+        op10_pitman_yor_scores, op11_astar_repair, op13_bitmap_trie, pipeline,
     )
 }
 
@@ -170,4 +231,6 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
   CAST(sum(CASE WHEN role = 'assistant' OR is_last THEN upto ELSE 0 END) AS BIGINT) AS formatted_chars
 FROM s GROUP BY conv_id""",
+    "op11_astar_repair": oracles_chat.REPAIR,
+    "op13_bitmap_trie": oracles_chat.TRIE,
 }
