@@ -28,13 +28,14 @@ WITH RECURSIVE d AS (
   FROM d, LATERAL (SELECT unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END))) WHERE kind <> 0
 ), numbered AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
-    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth,
     rtrim(text, {_SPACES}) AS t
   FROM damaged
+), repeated AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) AS nth FROM numbered
 ), faults AS (
   SELECT *, CASE WHEN t = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN right(t, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
     left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS previous
-  FROM numbered
+  FROM repeated
 ), counts AS (
   SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
     count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,

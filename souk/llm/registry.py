@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from souk.llm import ann, chat, decontam, langid, lm, mixing, oracles_chat, pii, repair, sharding, simhash, substring, trie
+from souk.llm import ann, chat, decontam, doubling, langid, lm, mixing, oracles_chat, oracles_text, pii, repair, sharding, simhash, substring, trie
 from souk.llm.order import stored
 from souk.llm.text import checkpointed, remainder
 
@@ -131,6 +131,13 @@ def op11_astar_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes kept of every document without strings of 100 bytes that start earlier too."""
+    out = doubling.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def rebuilt(turns: DataFrame, ids: DataFrame) -> DataFrame:
     """Every conversation c with the first h turns of c - c % 20 in place of its own first h; h: crc32(c) % 4."""
     head = F.array_sort(F.collect_list(F.struct("at", "role", "text")))
@@ -171,7 +178,8 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_block_matrix_neighbours, op2_soft_mixing, op3_compact_windows, op4_centroid_language, op5_bootstrapped_pii,
         op6_suffix_array_decontamination, op7_prefix_targets, op8_bktree_near_duplicates, op9_bounded_ring_shards,
-        op10_pitman_yor_scores, op11_astar_repair, op13_bitmap_trie, pipeline,
+        op10_pitman_yor_scores, op11_astar_repair, op12_prefix_doubling,
+        op13_bitmap_trie, pipeline,
     )
 }
 
@@ -232,5 +240,6 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(CASE WHEN role = 'assistant' OR is_last THEN upto ELSE 0 END) AS BIGINT) AS formatted_chars
 FROM s GROUP BY conv_id""",
     "op11_astar_repair": oracles_chat.REPAIR,
+    "op12_prefix_doubling": oracles_text.REPEATS,
     "op13_bitmap_trie": oracles_chat.TRIE,
 }
