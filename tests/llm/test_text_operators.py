@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -436,3 +437,15 @@ def test_class_probabilities_sum_to_one():
         table = lm.predictive_table(keys, levels, 7).reshape(7, 7)
         assert np.allclose(table.sum(axis=1), 1) and (table > 0).all()
         assert all((level.tables >= 1).all() and (level.tables <= level.customers).all() for level in levels)
+
+
+def test_repeated_shingles_cost_little():
+    rng = np.random.default_rng(1)
+    t = substring.WORDS - substring.SHINGLE + 1
+    a, b = (rng.integers(0, 500, 1000).astype(np.uint32) for _ in range(2))  # each shingle about twice in both
+    b = np.concatenate([b[:400], a[300:420], b[400:]])
+    substring.verified(a, b, t)
+    began = time.process_time()
+    found = substring.verified(a, b, t)
+    assert time.process_time() - began < 0.5
+    assert any(i <= 305 and j >= 415 and abs((i - k) - (300 - 400)) <= 30 for i, j, k, *_ in found)
