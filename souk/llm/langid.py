@@ -8,8 +8,9 @@ largest cosine.  A text is rejected if its distance is far beyond that of
 training texts of its length, or if it has no letter.
 
 The document frequencies count every training row.  Only the centroids and
-the distance limits are fitted on a sample: about ``SAMPLE`` rows per
-language, chosen by a hash of the row (never by a language's share).
+the distance limits are fitted on a sample: about ``SAMPLE`` distinct texts
+per language, chosen by a hash (never by a language's share), and one text of
+every language at least.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 from souk.llm.text import LOWER, Shared, empty_text, pieces, utf8
 
 DIMS = 4096
-#: Expected training rows per language that the centroids are fitted on.
+#: Expected distinct training texts per language that the centroids are fitted on.
 SAMPLE = 400
 CLUSTERS = 4
 ROUNDS = 12
@@ -136,17 +137,21 @@ def _document_frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def fit(train: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) -> Model:
-    """Learns from ``text`` and ``lang`` of the rows with a non-null ``lang``."""
+    """Learns from ``text`` and ``lang`` of the rows with a non-null ``lang``.
+
+    Texts without a letter teach nothing; a language that has no others is
+    not learned, every other one is, however few or alike its texts are.
+    Without any row to learn from the model knows no language.
+    """
     train = train.select(empty_text("text").alias("text"), "lang").filter(F.col("lang").isNotNull() & has_letter(F.col("text")))
     held, n = _document_frequencies(train)
     idf = (np.log((1 + n) / (1 + held)) + 1).astype(np.float32)
-    rows = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    place = F.shiftrightunsigned(F.xxhash64("lang", "text"), 11)
+    rows = train.groupBy("lang").agg(F.count_distinct(place).alias("n"), F.min(place).alias("first")).collect()
     if not rows:
         return Model(idf, [], np.zeros(0, np.int64), np.zeros((0, DIMS), np.float32), np.zeros(32))
-    languages = sorted(rows)
-    rate = F.create_map(*(x for k in languages for x in (F.lit(k), F.lit(min(1.0, sample / rows[k])))))
-    chance = F.shiftrightunsigned(F.xxhash64("lang", "text"), 11) / float(1 << 53)
-    some = train.filter(chance < rate[F.col("lang")]).dropDuplicates(["lang", "text"])
+    upto = F.create_map(*(x for r in rows for x in (F.lit(r["lang"]), F.lit(max(r["first"], int(min(1.0, sample / r["n"]) * (1 << 53)))))))
+    some = train.filter(place <= upto[F.col("lang")]).dropDuplicates(["lang", "text"])
 
     def embed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,7 +175,11 @@ def fit(train: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) -> Mod
 
 
 def _limits(some: DataFrame, model: Model) -> np.ndarray:
-    """Least cosine that is not rejected, by length class, from the sample's texts and cuts of them."""
+    """Least cosine that is not rejected, by length class, from the sample's texts and cuts of them.
+
+    A class that the sample lacks has the limit of the nearest shorter one
+    (cosines grow with the length); those below all that it has reject nothing.
+    """
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,8 +193,9 @@ def _limits(some: DataFrame, model: Model) -> np.ndarray:
         F.percentile_approx("score", LOW_QUANTILE, 1000).alias("low")
     ).collect()
     limits = np.zeros(32)
-    for r in rows:
-        limits[r["size"]] = SLACK * r["low"]
+    known = {r["size"]: SLACK * r["low"] for r in rows}
+    for size in range(32):
+        limits[size] = known.get(size, limits[size - 1] if size else 0.0)
     return limits
 
 

@@ -449,3 +449,31 @@ def test_repeated_shingles_cost_little():
     found = substring.verified(a, b, t)
     assert time.process_time() - began < 0.5
     assert any(i <= 305 and j >= 415 and abs((i - k) - (300 - 400)) <= 30 for i, j, k, *_ in found)
+
+
+def test_language_sample_holds_every_language(spark):
+    rng = np.random.default_rng(3)
+    word = lambda letters: "".join(rng.choice(list(letters), 4))
+    text = lambda letters, n: " ".join(word(letters) for _ in range(n))
+    one = text("abcdef", 40)
+    rows = [(one, "xx")] * 5000 + [(text("uvwxyz", 40), "yy") for _ in range(50)] + [(None, "zz"), ("", "zz"), ("12", "zz"), (text("abc", 5), None)]
+    table = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    model = langid.fit(table)
+    assert model.languages == ["xx", "yy"]
+    told = {r.text: r.lang_pred for r in langid.predict(table.select("text").distinct(), model).collect() if r.text}
+    assert told[one] == "xx" and all(told[t] == "yy" for t, k in rows[5000:5050])
+    copies = langid.fit(table.filter("lang = 'xx'"))  # copies of one text only
+    assert copies.languages == ["xx"]
+    nothing = langid.fit(table.filter("lang = 'zz'"))
+    assert nothing.languages == [] and {r.lang_pred for r in langid.predict(table, nothing).collect()} == {"und"}
+
+
+def test_limits_of_lengths_that_the_sample_lacks(spark):
+    rng = np.random.default_rng(4)
+    text = lambda letters, n: " ".join("".join(rng.choice(list(letters), 4)) for _ in range(n))
+    short = spark.createDataFrame([(text("abcdefgh", 4), "xx") for _ in range(400)], "text string, lang string")
+    model = langid.fit(short)
+    top = max(k for k in range(32) if k == 0 or model.limits[k] != model.limits[k - 1])
+    assert all(model.limits[k] == model.limits[top] > 0 for k in range(top, 32))
+    far = spark.createDataFrame([(text("uvwxyz", 400),), (text("abcdefgh", 400),)], "text string")
+    assert [r.rejected for r in langid.predict(far, model).collect()] == [True, False]
