@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from souk.operators.dedupe import asc, first_per_key
+from souk.operators.lists import CHUNK, chunked_lists
 from souk.plans.entities import KEY
 
 DEVICE = "DeviceID"
@@ -198,6 +199,40 @@ def entity_group_map(components: DataFrame, address_phones: DataFrame) -> DataFr
     return first_per_key(m.distinct(), ["member"], [asc("entity_group_id")])
 
 
+# ------------------------------------------------------- A09 / A10 / C12
+def group_members(components: DataFrame, customers: DataFrame, address_phones: DataFrame) -> DataFrame:
+    """``entity_group_id``, ``kind``, ``member``: the entities, linked devices,
+    customers and address phones of every group (those with a non-device
+    entity)."""
+    ents = components.withColumn("kind", F.when(F.col("entity_type") == DEVICE, "device").otherwise("entity"))
+    members = (
+        ents.select("component", "kind", F.col("entity").alias("member"))
+        .unionByName(
+            customers.join(components, KEY).select("component", F.lit("customer").alias("kind"), F.col("customer_id").cast("string").alias("member"))
+        )
+        .unionByName(
+            address_phones.filter(F.col("entity_type") != DEVICE)
+            .join(components, KEY)
+            .select("component", F.lit("phone").alias("kind"), F.col("phone_from_address").alias("member"))
+        )
+    )
+    made = components.filter(F.col("entity_type") != DEVICE).select("component").distinct()
+    return members.join(made, "component", "left_semi").select(F.concat(F.lit("EG_"), F.col("component")).alias("entity_group_id"), "kind", "member")
+
+
+def group_member_lists(components: DataFrame, customers: DataFrame, address_phones: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """The sorted member lists of every group and kind, in bounded chunks."""
+    return chunked_lists(group_members(components, customers, address_phones), ["entity_group_id", "kind"], "member", chunk)
+
+
+def entity_member_lists(customers: DataFrame, address_phones: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """The sorted customer and address-phone lists of every entity, in bounded chunks."""
+    members = customers.select(*KEY, F.lit("customer").alias("kind"), F.col("customer_id").cast("string").alias("member")).unionByName(
+        address_phones.select(*KEY, F.lit("phone").alias("kind"), F.col("phone_from_address").alias("member"))
+    )
+    return chunked_lists(members, [*KEY, "kind"], "member", chunk)
+
+
 # ------------------------------------------------------------ C15 / A14
 def group_products(lines: DataFrame, group_map: DataFrame) -> DataFrame:
     """Group x day x category facts over every order line whose receiver

@@ -259,6 +259,58 @@ def _entity_group_map(spark, d):
     return _groups(spark, d)[3]
 
 
+#: Members of a chunk in the registered lists.
+LIST_CHUNK = 20
+
+
+def _lists_sql(keys: str, members: str) -> str:
+    """Chunks cut from the whole list of each group."""
+    return f"""SELECT {keys}, chunk_no, first_member, n_members,
+  CAST(COALESCE(SUM(LENGTH(list_text)) OVER (PARTITION BY {keys} ORDER BY chunk_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS first_char,
+  list_text
+FROM (
+  SELECT {keys}, (n - 1) // {LIST_CHUNK} AS chunk_no, MIN(n) - 1 AS first_member, COUNT(*) AS n_members,
+    CASE WHEN MIN(n) > 1 THEN ', ' ELSE '' END || STRING_AGG(member, ', ' ORDER BY n) AS list_text
+  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {keys} ORDER BY member) AS n FROM (SELECT DISTINCT {keys}, member FROM ({members})))
+  GROUP BY {keys}, chunk_no
+)"""
+
+
+@register(
+    "group_member_lists",
+    lambda: _sql(
+        _lists_sql(
+            "entity_group_id, kind",
+            """SELECT 'EG_' || component AS entity_group_id, kind, member FROM (
+    SELECT component, CASE WHEN entity_type = 'DeviceID' THEN 'device' ELSE 'entity' END AS kind, entity AS member FROM comps
+    UNION ALL SELECT component, 'customer', CAST(customer_id AS VARCHAR) FROM ec JOIN comps USING (entity_type, entity)
+    UNION ALL SELECT component, 'phone', phone_from_address FROM ep JOIN comps USING (entity_type, entity) WHERE entity_type <> 'DeviceID')
+  WHERE component IN (SELECT component FROM comps WHERE entity_type <> 'DeviceID')""",
+        ),
+        R.BASE, R.COMPONENTS, recursive=True,
+    ),
+)
+def _group_member_lists(spark, d):
+    base = _base(spark, d)
+    return ID.group_member_lists(_components(spark, d, base), EN.entity_customers(base), EN.entity_address_phones(base), LIST_CHUNK)
+
+
+@register(
+    "entity_member_lists",
+    lambda: _sql(
+        _lists_sql(
+            "entity_type, entity, kind",
+            """SELECT entity_type, entity, 'customer' AS kind, CAST(customer_id AS VARCHAR) AS member FROM ea WHERE customer_id IS NOT NULL
+    UNION ALL SELECT entity_type, entity, 'phone', phone_from_address FROM ea WHERE phone_from_address IS NOT NULL""",
+        ),
+        R.BASE,
+    ),
+)
+def _entity_member_lists(spark, d):
+    base = _base(spark, d)
+    return ID.entity_member_lists(EN.entity_customers(base), EN.entity_address_phones(base), LIST_CHUNK)
+
+
 @register(
     "group_products",
     lambda: _sql(
