@@ -12,6 +12,7 @@ from souk.oracle.views import with_views
 from souk.plans.reg_events import scratch
 from souk.registry import register
 from souk.sources import io as IO
+from souk.sources import sheets as SHEETS
 from souk.sources import testviews as tv
 
 FMT = "'%Y-%m-%d %H:%M:%S'"
@@ -118,17 +119,25 @@ def _kpi_sheet_clean(spark, d):
 # ------------------------------------------------------------------ S04
 @register(
     "sheet_csv_source",
-    lambda: f"WITH {SHEET_SQL} SELECT date AS \"Date\", usd AS \"USD\", ctr AS \"CTR\" FROM sheet",
+    lambda: f"""WITH {SHEET_SQL}
+SELECT date AS "Date", usd AS "USD", ctr AS "CTR",
+  CASE WHEN CAST(right(date, 2) AS INTEGER) % 3 = 0 THEN 'said "' || date || '"' || chr(10) || 'on two lines, or' || chr(10) || chr(10) || 'more' END AS "Note"
+FROM sheet
+UNION ALL SELECT 'Date', 'USD', 'CTR', 'Note'
+UNION ALL SELECT NULL, NULL, NULL, NULL""",
 )
 def _sheet_csv_source(spark, d):
-    raw = kpi_sheet_raw(spark, d).select("Date", "USD", "CTR")
-    body = raw.select(F.lit(2).alias("i"), F.concat_ws(",", "Date", "USD", "CTR").alias("line"))
-    head = spark.range(1).select(F.lit(1).alias("i"), F.lit("Date,USD,CTR").alias("line"))
-    title = spark.range(1).select(F.lit(0).alias("i"), F.lit("Marketing summary export").alias("line"))
+    raw = kpi_sheet_raw(spark, d)
+    note = F.when(
+        F.right("Date", F.lit(2)).cast("int") % 3 == 0,
+        F.concat(F.lit('"said ""'), "Date", F.lit('""\non two lines, or\n\nmore"')),
+    ).otherwise(F.lit(""))
+    body = raw.select(F.lit(4).alias("i"), F.concat_ws(",", "Date", "USD", "CTR", note).alias("line"))
+    # a blank line, a line of empty cells, the header; the body repeats both of these
+    top = [(0, ""), (1, ",,,"), (2, "Date,USD,CTR,Note"), (3, "Date,USD,CTR,Note"), (3, ",,,")]
     path = scratch(spark, "sheet")
-    # one small sheet file: title line, header line, rows
-    title.unionByName(head).unionByName(body).coalesce(1).sortWithinPartitions("i").select("line").write.text(path)
-    return IO.sheet_csv_source(spark, path, header_row=1)
+    spark.createDataFrame(top, "i int, line string").unionByName(body).coalesce(1).sortWithinPartitions("i").select("line").write.text(path)
+    return SHEETS.sheet_csv_source(spark, path, header_row=1)
 
 
 # ------------------------------------------------------------ S05 / S12

@@ -12,7 +12,7 @@ from souk.functions import text as X
 from souk.plans import journey as J
 from souk.plans import milestones as MS
 from souk.plans.orders import ORDER_REPORT_LAYOUT
-from souk.sources import io as IO
+from souk.sources import sheets as SHEETS
 
 
 def test_percent_split(spark):
@@ -61,7 +61,7 @@ def test_milestones_go_by_the_minute_and_ties_to_the_later_step(spark):
 def test_sheet_below_title_line(spark, tmp_path):
     path = tmp_path / "sheet.csv"
     path.write_text('Export of May\nDate,"Spend, all",Note\n2024-05-01,"1,200",x\n\n2024-05-02,,"a ""b"""\n')
-    out = IO.sheet_csv_source(spark, str(path), header_row=1)
+    out = SHEETS.sheet_csv_source(spark, str(path), header_row=1)
     assert out.columns == ["Date", "Spend, all", "Note"]
     assert sorted(map(tuple, out.collect())) == [("2024-05-01", "1,200", "x"), ("2024-05-02", None, 'a "b"')]
 
