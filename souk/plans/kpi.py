@@ -11,9 +11,11 @@ distinct over:
 
 Every grain is smaller than the one before.  A buyer's rank and gap are
 windows on the buyer-day rows themselves, so new and returning buyers and
-the gap buckets need no second pass.  Only the two counts that are
-distinct within a day (return quantities, retail products) go over the
-lines once more, with the few columns they need.
+the gap buckets need no second pass.  The two counts that are distinct
+within a day (return quantities, retail products) ride along: a line with
+such a value gives one more row, whose key is the value instead of the
+order, so the same aggregates make its distinct values and then count them.
+The lines are read once.
 """
 
 from __future__ import annotations
@@ -159,15 +161,26 @@ def daily_kpis(
     }
     names = [name for name, _ in SUMS]
 
+    # a line's own row, and one for each value of it that counts once a day
+    kinds = F.array(
+        F.struct(F.lit("line").alias("kind"), F.lit(0).cast("long").alias("v")),
+        F.struct(F.lit("quality").alias("kind"), F.when(quality, F.col("return_qty")).cast("long").alias("v")),
+        F.struct(F.lit("retail").alias("kind"), F.when(fulfillment == "Retail", F.col("product_id")).cast("long").alias("v")),
+    )
+    rows = base.withColumn("x", F.explode(F.filter(kinds, lambda x: x["v"].isNotNull())))
+    line = F.col("x.kind") == "line"
     # order grain; the sets of cancelled sellers are bounded by one order's lines
-    orders = base.groupBy("order_date", "order_code", "customer_id").agg(
-        *[F.bool_or(flag[c]).alias(f"o_{c}") for c in FLAGS],
-        F.size(F.collect_set(F.when(cancelled, F.col("seller_id")))).alias("o_cancel_sellers"),
-        F.size(F.collect_set(F.when(seller_cancelled, F.col("seller_id")))).alias("o_seller_cancel_sellers"),
-        *[F.sum(value[c]).alias(f"s_{c}") for c in names],
+    orders = rows.groupBy(
+        "order_date", F.when(line, F.col("order_code")).alias("order_code"), F.when(line, F.col("customer_id")).alias("customer_id"),
+        F.col("x.kind").alias("kind"), F.col("x.v").alias("v"),
+    ).agg(
+        *[F.bool_or(F.when(line, flag[c])).alias(f"o_{c}") for c in FLAGS],
+        F.size(F.collect_set(F.when(line & cancelled, F.col("seller_id")))).alias("o_cancel_sellers"),
+        F.size(F.collect_set(F.when(line & seller_cancelled, F.col("seller_id")))).alias("o_seller_cancel_sellers"),
+        *[F.sum(F.when(line, value[c])).alias(f"s_{c}") for c in names],
     )
-    # buyer-day grain: order metrics go up as partial sums and counts
-    buyers = orders.groupBy("order_date", "customer_id").agg(
+    # buyer-day grain: order metrics go up as partial sums and counts; a day's distinct values are counted
+    buyers = orders.groupBy("order_date", "customer_id", "kind").agg(
         F.count(F.lit(1)).alias("b_orders"),
         *[F.count_if(F.col(f"o_{c}")).alias(f"n_{c}") for c in FLAGS],
         F.sum("o_cancel_sellers").alias("b_cancel_sellers"),
@@ -175,34 +188,22 @@ def daily_kpis(
         *[F.sum(f"s_{c}").alias(f"s_{c}") for c in names],
     )
     # the buyer's rank and gap are windows on the same rows, not a second pass
-    day = with_rank_and_gap(buyers).groupBy("order_date").agg(
-        F.sum("b_orders").alias("gross_orders"),
+    own = F.col("kind") == "line"
+    ranked = with_rank_and_gap(buyers, ["customer_id", "kind"]).withColumns(
+        {"rank": F.when(own, F.col("rank")), "date_diff": F.when(own, F.col("date_diff"))}
+    )
+    d = ranked.groupBy("order_date").agg(
+        F.sum(F.when(own, F.col("b_orders"))).alias("gross_orders"),
         *[F.sum(f"n_{c}").alias(f"orders_{c}") for c in FLAGS],
         *[F.count_if(F.col(f"n_{c}") > 0).alias(f"buyers_{c}") for c in FLAGS],
         F.sum("b_cancel_sellers").alias("cancelled_orders"),
         F.sum("b_seller_cancel_sellers").alias("seller_cancelled_orders"),
-        F.count(F.lit(1)).alias("total_buyers"),
+        F.count_if(own).alias("total_buyers"),
+        F.sum(F.when(F.col("kind") == "quality", F.col("b_orders"))).alias("quality_returns"),
+        F.sum(F.when(F.col("kind") == "retail", F.col("b_orders"))).alias("gross_fbc_items"),
         *_rank_aggs(),
         *[F.sum(f"s_{c}").alias(f"s_{c}") for c in names],
     )
-    # values that are distinct within a day, not within an order
-    values = F.array(
-        F.struct(F.lit("quality").alias("kind"), F.when(quality, F.col("return_qty")).cast("long").alias("v")),
-        F.struct(F.lit("retail").alias("kind"), F.when(fulfillment == "Retail", F.col("product_id")).cast("long").alias("v")),
-    )
-    distinct_day = (
-        base.select("order_date", F.explode(values).alias("x"))
-        .filter("x.v IS NOT NULL")
-        .select("order_date", "x.kind", "x.v")
-        .distinct()
-        .groupBy("order_date")
-        .agg(
-            F.count_if(F.col("kind") == "quality").alias("quality_returns"),
-            F.count_if(F.col("kind") == "retail").alias("gross_fbc_items"),
-        )
-    )
-    # one row per calendar day in [since, as_of): bounded by the date range, so it is broadcast
-    d = day.join(F.broadcast(distinct_day), "order_date", "left")
     g2n = F.round(
         F.when(F.col("gross_orders") == 0, F.lit(0).cast("decimal(38,18)")).otherwise(
             F.col("orders_delivered").cast("decimal(20,0)") / F.col("gross_orders").cast("decimal(20,0)")
@@ -292,11 +293,11 @@ def _bucket_share(name: str) -> Column:
 
 
 # ------------------------------------------------------------------ W06
-def with_rank_and_gap(buyer_days: DataFrame) -> DataFrame:
+def with_rank_and_gap(buyer_days: DataFrame, buyer: list[str] | None = None) -> DataFrame:
     """Rank and day gap per (customer, day).  The window partition is one
     customer's distinct days - bounded by the calendar, never by order
     volume, so a hot customer cannot blow up a task."""
-    w = Window.partitionBy("customer_id").orderBy("order_date")
+    w = Window.partitionBy(*(buyer or ["customer_id"])).orderBy("order_date")
     return buyer_days.withColumns(
         {
             "rank": F.row_number().over(w),
