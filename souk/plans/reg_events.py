@@ -134,6 +134,44 @@ def _late_event_policy(spark, d):
     return EV.late_event_policy(_raw(spark, d), WATERMARK)
 
 
+#: Parts that the replay arrives in, and how late an event may be.
+REPLAY_PARTS, LATENESS = 4, "1 hour"
+
+
+@register(
+    "late_tolerant_dedupe",
+    lambda: with_views(
+        ["user_events"],
+        f"SELECT DISTINCT {', '.join(RAW_COLS)} FROM user_events WHERE TRY_CAST(event_timestamp AS TIMESTAMP) IS NOT NULL",
+    ),
+)
+def _late_tolerant_dedupe(spark, d):
+    """A replay in parts, in time order.  Each part also holds copies of its
+    own events, copies of the last hour's events of the part before, and
+    events that are a part or more late (they must go); every part is a run
+    of its own, so each starts from the checkpoint."""
+    raw = _raw(spark, d).withColumn("ts", F.try_to_timestamp("event_timestamp")).filter("ts IS NOT NULL")
+    ends = raw.agg(F.min(F.unix_seconds("ts")).alias("lo"), F.max(F.unix_seconds("ts")).alias("hi")).first()
+    src, out, ck = scratch(spark, "dedupe-src"), scratch(spark, "dedupe-out"), scratch(spark, "dedupe-ckpt")
+    if ends.lo is None:
+        return raw.drop("ts")
+    width = (ends.hi - ends.lo) // REPLAY_PARTS + 1
+    raw = raw.withColumn("part", F.floor((F.unix_seconds("ts") - ends.lo) / width))
+    last = {r.part: r.ts for r in raw.groupBy("part").agg(F.max("ts").alias("ts")).collect()}
+    for part in sorted(last):
+        own = raw.filter(F.col("part") == part)
+        sent = own.unionByName(own.filter(F.pmod(F.xxhash64("user_id", "event_timestamp"), F.lit(7)) == 0))
+        earlier = [p for p in sorted(last) if p < part]
+        if earlier:
+            before = raw.filter(F.col("part") == earlier[-1])
+            sent = sent.unionByName(before.filter(F.col("ts") > F.lit(last[earlier[-1]]) - F.expr(f"INTERVAL {LATENESS}")))
+        if len(earlier) > 1:
+            sent = sent.unionByName(raw.filter(F.col("part") == earlier[0]).withColumn("user_id", F.concat(F.lit("late "), "user_id")))
+        sent.drop("ts", "part").write.parquet(f"{src}/part-{part}")
+        EV.stream_dedupe(spark, src, out, ck, LATENESS)
+    return spark.read.parquet(out).select(*RAW_COLS)
+
+
 @register(
     "watermark_state",
     lambda: with_views(

@@ -8,6 +8,7 @@ reference's row-by-row fallbacks).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,24 +79,24 @@ def csv_projection(spark: SparkSession, path: str, columns: Iterable[str], encod
 
 
 # ------------------------------------------------------------------------ S06
-def latest_file_scan(spark: SparkSession, folder: str, prefix: str, fmt: str = "csv", recursive: bool = False) -> DataFrame:
-    """Rows of the newest file (by modification time) whose path below
-    ``folder`` starts with ``prefix``.  Uses the file source's hidden
-    ``_metadata`` column; the newest file is found by a distributed max (a
-    one-row result, so its broadcast is bounded), then the scan is
-    semi-joined to it - never a driver-side listing or row loop."""
-    import re
+def newest_file(spark: SparkSession, folder: str, prefix: str, recursive: bool = False) -> str | None:
+    """The newest file (by modification time, then path) whose path below
+    ``folder`` starts with ``prefix``.  Only the listing is read: without its
+    ``content`` column the binary source opens no file."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(folder).select("path", "modificationTime")
+    below = F.regexp_replace("path", "^.*?" + re.escape(folder.rstrip("/")) + "/", "")
+    return files.filter(below.startswith(prefix)).agg(F.max_by("path", F.struct("modificationTime", "path"))).first()[0]
+
 
+def latest_file_scan(spark: SparkSession, folder: str, prefix: str, fmt: str = "csv", recursive: bool = False) -> DataFrame:
+    """Rows of the newest file whose path below ``folder`` starts with
+    ``prefix``; no rows (and the folder's columns) if there is none.  The
+    scan reads that one file, however many older ones the folder holds."""
     reader = spark.read.format(fmt).option("header", True)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", True)
-    df = reader.load(folder).select(
-        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_modification_time").alias("_mtime")
-    )
-    rel = F.regexp_replace(F.col("_file"), "^.*?" + re.escape(folder.rstrip("/")) + "/", "")
-    df = df.filter(rel.startswith(prefix))
-    newest = df.agg(F.max_by("_file", F.struct("_mtime", "_file")).alias("_newest"))
-    return df.join(F.broadcast(newest), F.col("_file") == F.col("_newest"), "left_semi").drop("_file", "_mtime")
+    path = newest_file(spark, folder, prefix, recursive)
+    if path is None:
+        return reader.option("recursiveFileLookup", recursive).load(folder).limit(0)
+    return reader.load(path)
 
 
 # ------------------------------------------------------------------ U02

@@ -178,13 +178,29 @@ def late_event_policy(raw: DataFrame, watermark: str) -> DataFrame:
     return raw.filter(F.try_to_timestamp(F.col("event_timestamp")) > F.lit(watermark).cast("timestamp"))
 
 
+EVENT_KEY = ["event_name", "user_id", "product_id", "product_variant_id", "event_timestamp"]
+
+
 def late_tolerant_dedupe(stream: DataFrame, lateness: str = "1 hour") -> DataFrame:
-    """Streaming variant: accept events up to ``lateness`` late and drop
-    exact repeats inside that horizon (bounded state)."""
-    keyed = stream.withColumn("event_ts", F.try_to_timestamp(F.col("event_timestamp")))
-    return keyed.withWatermark("event_ts", lateness).dropDuplicatesWithinWatermark(
-        ["event_name", "user_id", "product_id", "product_variant_id", "event_timestamp"]
+    """Streaming variant: accept events up to ``lateness`` behind the latest
+    one seen, and drop repeats of an event (equal in ``EVENT_KEY``) inside
+    that horizon.  The state holds one key per event of the horizon only.
+    Events whose time can't be read have no place in it and are left out."""
+    keyed = stream.withColumn("event_ts", F.try_to_timestamp(F.col("event_timestamp"))).filter(F.col("event_ts").isNotNull())
+    return keyed.withWatermark("event_ts", lateness).dropDuplicatesWithinWatermark(EVENT_KEY)
+
+
+def stream_dedupe(spark: SparkSession, src: str, out: str, ckpt: str, lateness: str = "1 hour") -> None:
+    """File stream of raw events -> ``late_tolerant_dedupe`` -> parquet sink.
+    Takes the files that are there as one batch and stops; watermark and seen
+    keys are in the checkpoint, so the next run goes on with both."""
+    stream = spark.readStream.schema(RAW_EVENT_SCHEMA).option("recursiveFileLookup", True).parquet(src)
+    query = (
+        late_tolerant_dedupe(stream, lateness).drop("event_ts")
+        .writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+        .trigger(availableNow=True).start()
     )
+    query.awaitTermination()
 
 
 # ------------------------------------------------------------------ T05
