@@ -231,6 +231,23 @@ def _enrichment_stats(spark, d):
     return EV.enrichment_stats(EV.event_enrich(_raw(spark, d), p, v))
 
 
+@register(
+    "load_metrics",
+    lambda: with_views(
+        ["catalog", "user_events"],
+        f"""WITH {enrich_ctes()}
+SELECT COUNT(*) AS rows_inserted, COUNT(vertical) AS rows_enriched, COUNT(*) AS rows_written, COUNT(*) > 0 AS has_rate FROM enriched""",
+    ),
+)
+def _load_metrics(spark, d):
+    """Counts and rate of a load as its own write reports them, beside a count of what it wrote."""
+    p, v = _lookups(spark, d)
+    path = scratch(spark, "load")
+    m = EV.load_metrics(EV.event_enrich(_raw(spark, d), p, v), path)
+    told = (F.lit(m["rows_inserted"]).alias("rows_inserted"), F.lit(m["rows_enriched"]).alias("rows_enriched"))
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows_written")).select(*told, "rows_written", F.lit(m["rows_per_second"] > 0).alias("has_rate"))
+
+
 @register(
     "stream_new_files",
     lambda: with_views(

@@ -9,9 +9,10 @@ reference's row-by-row fallbacks).
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -126,17 +127,24 @@ def overwrite_verify(df: DataFrame, path: str, fmt: str = "parquet", partition_b
     fs, target = _file_system(spark, path)
     staged, before = f"{path.rstrip('/')}__new", f"{path.rstrip('/')}__old"
     initial = spark.read.format(fmt).load(path).count() if fs.exists(target) else 0
-    writer = df.write.mode("overwrite").format(fmt)
+    sent, seen = counted(df)
+    writer = sent.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(staged)
     final = spark.read.format(fmt).schema(df.schema).load(staged).count()
-    expected = df.count()
+    expected = seen.get.get("rows", 0)
     if expected == final:
         _publish(spark, staged, path, before)
     return initial, expected, final, expected == final
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df``, and its row count (``rows``) as taken by the job that writes it: the source is computed once."""
+    seen = Observation(f"rows-{uuid.uuid4().hex}")
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
 def _file_system(spark: SparkSession, path: str):
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at

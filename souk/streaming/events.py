@@ -18,6 +18,9 @@ Whether a catalog side is broadcast is left to the planner's measured sizes.
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -235,7 +238,7 @@ def stream_enrich(spark: SparkSession, src: str, allsku: DataFrame, out: str, ck
     q.awaitTermination()
 
 
-# ------------------------------------------------------------------ T06
+# ------------------------------------------------------------------ T06 / S14
 def enrichment_stats(enriched: DataFrame) -> DataFrame:
     """Rows, enriched rows and enriched share of a load (one row)."""
     return enriched.agg(
@@ -256,6 +259,25 @@ def observe_load(enriched: DataFrame, name: str = "load") -> tuple[DataFrame, Ob
     ), obs
 
 
+def load_metrics(enriched: DataFrame, path: str) -> dict:
+    """Writes ``enriched`` to ``path`` and returns ``rows_inserted``,
+    ``rows_enriched``, ``seconds`` and ``rows_per_second`` of that write."""
+    frame, seen = observe_load(enriched, f"load-{uuid.uuid4().hex}")
+    began = time.monotonic()
+    frame.write.parquet(path)
+    seconds = time.monotonic() - began
+    rows = seen.get.get("rows_inserted", 0)
+    return {"rows_inserted": rows, "rows_enriched": seen.get.get("rows_enriched", 0), "seconds": seconds, "rows_per_second": rows / seconds}
+
+
+def stream_rates(spark: SparkSession, query) -> DataFrame:
+    """Rows, seconds and rows a second of every micro-batch of a stream, from its own progress reports."""
+    rows = [(p["batchId"], p["numInputRows"], p["durationMs"].get("triggerExecution", 0) / 1000) for p in query.recentProgress]
+    return spark.createDataFrame(rows, "batch_id long, rows long, seconds double").withColumn(
+        "rows_per_second", F.try_divide("rows", "seconds")
+    )
+
+
 # ------------------------------------------------------------- S07 / T07
 def stream_new_files(spark: SparkSession, folder: str, schema: T.StructType, fn, ckpt: str, fmt: str = "csv") -> None:
     """Process every new file dropped into ``folder`` once: a file-source

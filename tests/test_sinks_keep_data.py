@@ -61,3 +61,34 @@ def test_sheet_values_that_are_no_numbers(spark):
     sheet = spark.createDataFrame([("n/a", "3"), ("12", "99999999999999"), ("13", "4")], "template_id string, per_user string")
     got = {(r.template_id, r["limit"]) for r in entities.shipping_limits(sheet).collect()}
     assert got == {(None, 3), (12, None), (13, 4)}
+
+
+def test_counts_come_from_the_write(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from souk.streaming import events as EV
+
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(x):
+        calls.add(1)
+        return x
+
+    df = spark.range(50).select(counted.asNondeterministic()("id").alias("x"))
+    path = str(tmp_path / "t")
+    assert IO.overwrite_verify(df, path) == (0, 50, 50, True)
+    assert calls.value == 50  # the source was computed once
+    assert IO.overwrite_verify(df.limit(0), path) == (50, 0, 0, True)
+    assert IO.overwrite_verify(spark.createDataFrame([], "x long"), path) == (0, 0, 0, True)
+    m = EV.load_metrics(spark.createDataFrame([("a",), (None,), ("b",)], "vertical string"), str(tmp_path / "load"))
+    assert (m["rows_inserted"], m["rows_enriched"]) == (3, 2) and m["rows_per_second"] == 3 / m["seconds"]
+
+
+def test_rates_of_a_stream(spark, tmp_path):
+    from souk.streaming import events as EV
+
+    spark.range(30).write.parquet(str(tmp_path / "in"))
+    q = spark.readStream.schema("id long").parquet(str(tmp_path / "in")).writeStream.format("noop").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    rows = [r for r in EV.stream_rates(spark, q).collect() if r.rows]
+    assert sum(r.rows for r in rows) == 30 and all(r.rows_per_second > 0 for r in rows)
