@@ -183,15 +183,18 @@ def staged_replace(df: DataFrame, table: str) -> int:
     stays for readers that have begun, older ones are dropped.  Returns the
     new row count."""
     spark = df.sparkSession
-    stem = f"{table}__v"
-    base = table.rpartition(".")[2] + "__v"
-    versions = sorted(int(t.name[len(base) :]) for t in spark.catalog.listTables() if t.name.startswith(base) and t.name[len(base) :].isdigit())
-    new = f"{stem}{(versions[-1] if versions else 0) + 1}"
+    schema, _, name = table.rpartition(".")
+    base = re.compile(re.escape(name.lower()) + r"__v(\d+)_[0-9a-f]{8}")
+    found = ((base.fullmatch(t.name.lower()), t.name) for t in (spark.catalog.listTables(schema) if schema else spark.catalog.listTables()))
+    versions = sorted((int(m[1]), old) for m, old in found if m)
+    within = f"{schema}." if schema else ""
+    # a name of its own: a failed write may leave its folder behind
+    new = f"{within}{name}__v{versions[-1][0] + 1 if versions else 1}_{uuid.uuid4().hex[:8]}"
     df.write.mode("errorifexists").saveAsTable(new)
     n = spark.table(new).count()
     spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {new}")
-    for old in versions[:-1]:
-        spark.sql(f"DROP TABLE IF EXISTS {stem}{old}")
+    for _, old in versions[:-1]:
+        spark.sql(f"DROP TABLE IF EXISTS {within}{old}")
     return n
 
 
