@@ -30,6 +30,27 @@ def merge_left(left: DataFrame, right: DataFrame, left_on: list[str], right_on:
     return out
 
 
+def merge_left_spread(left: DataFrame, right: DataFrame, on: list[str], salts: int | None = None) -> DataFrame:
+    """``merge_left`` for keys that are often NULL on the left.
+
+    A null-safe join sends every NULL key to one task.  Here a left row with
+    a NULL among its keys also gets one of ``salts`` numbers, by a hash of
+    the row, and the right rows with a NULL are there once per number, so
+    the same rows meet, in many tasks.  Rows with keys are joined as ever.
+    ``salts``: as many as shuffle partitions, if not given.
+    """
+    salts = salts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    missing = lambda: F.greatest(*(F.col(c).isNull() for c in on)) if len(on) > 1 else F.col(on[0]).isNull()
+    number = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in left.columns)), F.lit(salts)).cast("int")
+    l = left.withColumn("_salt", F.when(missing(), number).otherwise(0))
+    copies = F.when(missing(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    r = right.withColumn("_salt", F.explode(copies)).withColumnsRenamed({c: f"_r_{c}" for c in on}).withColumnRenamed("_salt", "_r_salt")
+    cond = F.col("_salt") == F.col("_r_salt")
+    for c in on:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    return l.join(r, cond, "left").drop("_salt", "_r_salt", *(f"_r_{c}" for c in on))
+
+
 # ------------------------------------------------------------------ J05
 def join_coalesce_key(left: DataFrame, right: DataFrame, lkeys: list[str], rkeys: list[str], how: str = "left"):
     """Join on ``COALESCE(l1, l2, ..) = COALESCE(r1, r2, ..)`` by first

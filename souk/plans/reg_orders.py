@@ -241,6 +241,22 @@ def _join_inner(spark, d):
     return JN.join_inner(l, r, ["order_code", "variant_id"])
 
 
+@register(
+    "merge_null_keys",
+    lambda: with_views(
+        ["order_lines"],
+        """SELECT l.order_code, l.variant_id, l.voucher_code, v.code_lines, v.code_items
+FROM order_lines l LEFT JOIN (
+  SELECT voucher_code, COUNT(*) AS code_lines, CAST(SUM(qty) AS BIGINT) AS code_items FROM order_lines GROUP BY voucher_code
+) v ON l.voucher_code IS NOT DISTINCT FROM v.voucher_code""",
+    ),
+)
+def _merge_null_keys(spark, d):
+    lines = tv.order_lines(spark, d).select("order_code", "variant_id", "voucher_code", "qty")
+    codes = lines.groupBy("voucher_code").agg(F.count(F.lit(1)).alias("code_lines"), F.sum("qty").cast("long").alias("code_items"))
+    return JN.merge_left_spread(lines.drop("qty"), codes, ["voucher_code"])
+
+
 @register(
     "join_coalesce_key",
     lambda: with_views(
