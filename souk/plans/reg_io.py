@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -171,6 +172,35 @@ def _csv_roundtrip(spark, d):
     return IO.csv_roundtrip(_partner_text(spark, d), scratch(spark, "roundtrip"))
 
 
+# ------------------------------------------------------------------ S09
+@register(
+    "insert_overwrite_table",
+    lambda: with_views(
+        ["order_lines"],
+        "SELECT order_code, CAST(NULL AS VARCHAR) AS note, CAST(qty AS BIGINT) AS qty FROM order_lines WHERE variant_id <> 1",
+    ),
+)
+def _insert_overwrite_table(spark, d):
+    """The target's columns, order and types stay; the frame lacks one of them and has another order."""
+    lines = tv.order_lines(spark, d)
+    table = f"souk_target_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE TABLE {table} (order_code BIGINT, note STRING, qty BIGINT) USING parquet")
+    schema = spark.table(table).schema
+    IO.insert_overwrite_table(lines.filter("variant_id = 1").select("order_code", "qty"), table, schema)
+    IO.insert_overwrite_table(lines.filter("variant_id <> 1").select("qty", "order_code"), table, schema)
+    return spark.table(table)
+
+
+# ------------------------------------------------------------------ S11
+@register("staging_swap", lambda: with_views(["order_lines"], "SELECT order_code, variant_id, CAST(qty AS BIGINT) AS qty FROM order_lines"))
+def _staging_swap(spark, d):
+    lines = tv.order_lines(spark, d).select("order_code", "variant_id", F.col("qty").cast("long").alias("qty"))
+    view = f"souk_staged_{uuid.uuid4().hex[:8]}"
+    IO.staged_replace(lines.filter("variant_id = 1"), view)
+    IO.staged_replace(lines, view)
+    return spark.table(view)
+
+
 # ------------------------------------------------------------------ S06
 @register(
     "latest_file_scan",
