@@ -105,16 +105,6 @@ def split_clean(c, sep: str = ",") -> Column:
     return F.filter(parts, lambda x: (x != "") & ~F.lower(x).isin("nan", "none"))
 
 
-def concat_unique(*cols) -> Column:
-    """Set union of several comma lists, sorted, as ', ' text."""
-    arr = F.array_sort(F.array_distinct(F.flatten(F.array(*[split_clean(c) for c in cols]))))
-    return F.array_join(arr, ", ")
-
-
-def count_unique(c) -> Column:
-    return F.size(F.array_distinct(split_clean(c)))
-
-
 # ------------------------------------------------------------------ X13
 def attempt_number(first, second) -> Column:
     """'3' if a second attempt exists, '2' if only a first, else '1'."""

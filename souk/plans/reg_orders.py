@@ -343,6 +343,18 @@ def _filter_valid_orders(spark, d):
     return FL.filter_valid_orders(l)
 
 
+@register(
+    "filter_date_range",
+    lambda: with_views(
+        ["order_lines"],
+        f"""SELECT order_code, variant_id, strftime(order_date, '%Y-%m-%d') AS order_date FROM order_lines
+WHERE order_date >= DATE '{SINCE}' AND order_date < DATE '1997-01-01'""",
+    ),
+)
+def _filter_date_range(spark, d):
+    return FL.filter_date_range(tv.order_lines(spark, d).select("order_code", "variant_id", "order_date"), "order_date", SINCE, "1997-01-01")
+
+
 @register(
     "filter_returns",
     lambda: with_views(
