@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 import uuid
 
@@ -13,6 +14,7 @@ from souk.oracle.views import with_views
 from souk.plans.reg_events import scratch
 from souk.registry import register
 from souk.sources import io as IO
+from souk.sources import layout as LAYOUT
 from souk.sources import sheets as SHEETS
 from souk.sources import testviews as tv
 
@@ -201,6 +203,48 @@ def _staging_swap(spark, d):
     return spark.table(view)
 
 
+# ------------------------------------------------------------------ S16
+LAYOUT_LOOKUPS = {
+    "time": ("event_ts", dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 10, 6)),
+    "product": ("product_id", 700, 705),
+    "user": ("user_id", 7, 7),
+}
+
+
+def _layout_sql() -> str:
+    lo, hi = (t.strftime("%Y-%m-%d %H:%M:%S") for t in LAYOUT_LOOKUPS["time"][1:])
+    wanted = {"time": f"event_ts BETWEEN TIMESTAMP '{lo}' AND TIMESTAMP '{hi}'", "product": "product_id BETWEEN 700 AND 705",
+              "user": "user_id = 7"}
+    base = """ev AS (SELECT source_ts AS event_ts, TRY_CAST(product_id AS BIGINT) AS product_id,
+  TRY_CAST(user_id AS BIGINT) AS user_id FROM user_events)"""
+    parts = [
+        f"SELECT '{k}' AS lookup, COUNT(*) FILTER (WHERE {w}) AS n_rows, COUNT(*) AS table_rows, "
+        f"{'NULL' if k == 'time' else 'TRUE'} AS fewer_files FROM ev"
+        for k, w in wanted.items()
+    ]
+    return with_views(["user_events"], f"WITH {base} {' UNION ALL '.join(parts)}")
+
+
+@register("event_layout", _layout_sql)
+def _event_layout(spark, d):
+    """Three look-ups on the curve's layout: rows, rows by the catalog's statistics, and whether a look-up by
+    product or user opens fewer files than in files of the same size in the order of time."""
+    events = tv.user_events(spark, d).select(
+        F.col("source_ts").alias("event_ts"), "event_name",
+        F.expr("try_cast(product_id as bigint)").alias("product_id"), F.expr("try_cast(user_id as bigint)").alias("user_id"),
+    )
+    n = events.count()
+    per_file = max(1, n // 64)
+    table = f"souk_events_{uuid.uuid4().hex[:8]}"
+    told = LAYOUT.save_clustered(events, table, ["event_ts", "product_id", "user_id"], ["product_id", "user_id"], per_file)
+    dated = scratch(spark, "events-by-time")
+    events.repartitionByRange(max(1, -(-n // per_file)), "event_ts").sortWithinPartitions("event_ts").write.parquet(dated)
+    curve = LAYOUT.files_holding(spark.table(table), LAYOUT_LOOKUPS)
+    plain = LAYOUT.files_holding(spark.read.parquet(dated), LAYOUT_LOOKUPS).select("lookup", F.col("files").alias("plain"))
+    fewer = F.when(F.col("lookup") != "time", F.col("files") < F.col("plain"))
+    return curve.join(plain, "lookup").select("lookup", "n_rows", F.lit(told).cast("long").alias("table_rows"), fewer.alias("fewer_files"))
+
+
 # ------------------------------------------------------------------ S06
 @register(
     "latest_file_scan",
