@@ -9,11 +9,13 @@ from souk.functions import text as X
 from souk.operators import dedupe as W
 from souk.operators import filters as FL
 from souk.operators import joins as JN
+from souk.oracle.master_sql import order_master_full_sql
 from souk.oracle.orders_sql import BEST_TXN, OM_EXPORT, RETURN_MASTER, category_tree_ctes, order_master_ctes, order_report_ctes
 from souk.oracle.views import package_log_sql, with_views
-from souk.plans import category, orders
+from souk.plans import category, master, orders
 from souk.plans.milestones import ATTEMPT_MILESTONES
 from souk.registry import AS_OF, SINCE, register
+from souk.sources import masterviews as mv
 from souk.sources import testviews as tv
 
 RISK_SINCE = "1998-01-01"
@@ -49,6 +51,16 @@ def _order_master(spark, d):
     return _master(spark, d)
 
 
+def _master_full(spark, d):
+    return master.order_master_full(mv.master_lines(spark, d), _tree(spark, d), mv.tables(spark, d), AS_OF)
+
+
+# ------------------------------------------------------------ C03 / J02, all dimensions
+@register("order_master_full", lambda: order_master_full_sql(AS_OF, tv.LOG_STATUSES))
+def _order_master_full(spark, d):
+    return _master_full(spark, d)
+
+
 # ------------------------------------------------------------ P15
 @register(
     "payment_order",
