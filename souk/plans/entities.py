@@ -169,6 +169,16 @@ def _code_counts(e: DataFrame, code_col: str) -> DataFrame:
     )
 
 
+def entity_order_facts(lines: DataFrame) -> DataFrame:
+    """Valid orders by entity: one row per order, customer, voucher and free
+    shipping, with its subsidies.  The abuse rules and the accounts read
+    these few columns; the lines are exploded and shuffled once for all."""
+    e = entity_union(filter_valid_orders(lines)).withColumn("voucher_code", F.trim("voucher_code"))
+    return e.groupBy(*KEY, "order_code", "customer_id", "voucher_code", "free_shipping_id").agg(
+        F.sum("voucher_discount").alias("voucher_discount"), F.sum("platform_shipping").alias("platform_shipping")
+    )
+
+
 # ------------------------------------------------------------------ A08
 def entity_vouchers(lines: DataFrame) -> DataFrame:
     """Codes used by an entity (sorted) with parallel distinct-order counts,
@@ -229,9 +239,10 @@ def voucher_limits(sheets: list[DataFrame], overrides: dict[str, int] | None = N
 
 
 # ------------------------------------------------------------------ C05 / J09
-def voucher_abuse(lines: DataFrame, limits: DataFrame, min_accounts: int = 5, default_limit: int = 1) -> DataFrame:
-    """Voucher abuse per entity (see module doc)."""
-    e = entity_union(filter_valid_orders(lines)).withColumn("voucher_code", F.trim("voucher_code"))
+def voucher_abuse(lines: DataFrame, limits: DataFrame, min_accounts: int = 5, default_limit: int = 1,
+                  facts: DataFrame | None = None) -> DataFrame:
+    """Voucher abuse per entity (see module doc); ``facts``: the lines' ``entity_order_facts``, where they are written."""
+    e = entity_union(filter_valid_orders(lines)).withColumn("voucher_code", F.trim("voucher_code")) if facts is None else facts
     cc = _code_counts(e, "voucher_code")
     lim = (limits.select(F.col("code").alias("voucher_code"), "limit"))
     cc = cc.join(lim, "voucher_code", "left").withColumn("limit", F.coalesce("limit", F.lit(default_limit)))
@@ -283,11 +294,12 @@ def voucher_abuse(lines: DataFrame, limits: DataFrame, min_accounts: int = 5, de
 
 
 # ------------------------------------------------------------------ C07
-def shipping_abuse(lines: DataFrame, limits: DataFrame, min_accounts: int = 5, default_limit: int = 10) -> DataFrame:
+def shipping_abuse(lines: DataFrame, limits: DataFrame, min_accounts: int = 5, default_limit: int = 10,
+                   facts: DataFrame | None = None) -> DataFrame:
     """Free-shipping abuse per entity.  The subsidy lost and the flag need
     more than ``min_accounts`` accounts; ``abused_shipping_id_count`` does
-    not (as in the source)."""
-    e = entity_union(filter_valid_orders(lines))
+    not (as in the source).  ``facts`` as in ``voucher_abuse``."""
+    e = entity_union(filter_valid_orders(lines)) if facts is None else facts
     cc = _code_counts(e, "free_shipping_id").filter(F.col("free_shipping_id") != 0)
     lim = (limits.select(F.col("template_id").alias("free_shipping_id"), "limit"))
     cc = cc.join(lim, "free_shipping_id", "left").withColumn("limit", F.coalesce("limit", F.lit(default_limit)))

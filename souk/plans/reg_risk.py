@@ -12,6 +12,7 @@ from souk.plans import category
 from souk.plans import entities as EN
 from souk.plans import identity as ID
 from souk.plans import risk as RK
+from souk.plans.reg_events import scratch
 from souk.registry import register
 from souk.sources import testviews as tv
 
@@ -19,39 +20,49 @@ RESELLER_SINCE = "2000-01-01"
 LOYAL_AS_OF = "2001-07-15 10:30:00"
 
 
-# Materialised intermediates of the risk pipeline, per (session, input):
-# the checkpointed base and component labels are written once to the
-# checkpoint directory and read by every later query of the chain.
+# Intermediates of the risk pipeline, each written once as Parquet below the
+# checkpoint directory and read by every later branch and query of the
+# chain, pruned to its columns: per session and state of the input files.
 _MATERIALISED: dict[tuple, object] = {}
 
 
-def _memo(spark, d, name, build):
-    key = (spark.sparkContext.applicationId, d, name)
-    if key not in _MATERIALISED:
-        _MATERIALISED[key] = build()
-    return _MATERIALISED[key]
+def _input_state(spark, d) -> int:
+    """A hash over the names, sizes and times of the input's files."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(d)
+    return files.agg(F.sum(F.xxhash64("path", "length", "modificationTime") % (1 << 40))).first()[0]
+
+
+def _stored(spark, of, name, build):
+    """What ``build`` gives, written once for ``of``: the input's state or the base that it comes from."""
+    if (of, name) not in _MATERIALISED:
+        df, path = build(), scratch(spark, f"risk-{name}")
+        df.write.parquet(path)
+        _MATERIALISED[of, name] = spark.read.schema(df.schema).parquet(path)
+    return _MATERIALISED[of, name]
 
 
 def _base(spark, d):
-    """Cleaned risk input, materialised once: about ten branches (rollups,
-    abuse rules, profile, components, group tables) read it, so it is
-    written to the checkpoint directory instead of being recomputed."""
-    from souk.session import ensure_checkpoint_dir
+    """Cleaned risk input, which about ten branches read (rollups, abuse
+    rules, profile, components, group tables)."""
 
     def build():
-        ensure_checkpoint_dir(spark)
         tree = category.category_tree(tv.categories(spark, d), tv.industries(spark, d))
-        # prune to what the chain reads before materialising (a checkpoint
-        # is not column-pruned by later projections)
-        return clean_orders(EN.risk_lines(tv.order_lines(spark, d), tree)).select(*EN.RISK_COLUMNS).checkpoint()
+        return clean_orders(EN.risk_lines(tv.order_lines(spark, d), tree)).select(*EN.RISK_COLUMNS)
+
+    return _stored(spark, (spark.sparkContext.applicationId, d, _input_state(spark, d)), "base", build)
+
 
-    return _memo(spark, d, "base", build)
+def _customers(spark, d, base):
+    return _stored(spark, id(base), "customers", lambda: EN.entity_customers(base))
+
+
+def _phones(spark, d, base):
+    return _stored(spark, id(base), "phones", lambda: EN.entity_address_phones(base))
 
 
 def _components(spark, d, base):
-    return _memo(
-        spark, d, "components",
-        lambda: ID.entity_components(EN.entity_customers(base), EN.entity_address_phones(base)).checkpoint(),
+    return _stored(
+        spark, id(base), "components", lambda: ID.entity_components(_customers(spark, d, base), _phones(spark, d, base))
     )
 
 
@@ -60,18 +71,19 @@ def _limits(spark, d):
 
 
 def _attached(spark, d, base):
-    v = EN.voucher_abuse(base, _limits(spark, d))
-    s = EN.shipping_abuse(base, EN.shipping_limits(tv.free_shipping_sheet(spark, d)))
+    facts = _stored(spark, id(base), "facts", lambda: EN.entity_order_facts(base))
+    v = EN.voucher_abuse(base, _limits(spark, d), facts=facts)
+    s = EN.shipping_abuse(base, EN.shipping_limits(tv.free_shipping_sheet(spark, d)), facts=facts)
     return EN.abuse_attach(EN.entity_profile(base), v, s)
 
 
 def _groups(spark, d):
     base = _base(spark, d)
-    customers = EN.entity_customers(base)
-    aphones = EN.entity_address_phones(base)
     comps = _components(spark, d, base)
-    groups = ID.group_rollup(_attached(spark, d, base), comps, customers)
-    gmap = ID.entity_group_map(comps, aphones)
+    groups = _stored(
+        spark, id(base), "groups", lambda: ID.group_rollup(_attached(spark, d, base), comps, _customers(spark, d, base))
+    )
+    gmap = _stored(spark, id(base), "group-map", lambda: ID.entity_group_map(comps, _phones(spark, d, base)))
     return base, comps, groups, gmap
 
 
@@ -292,7 +304,7 @@ FROM (
 )
 def _group_member_lists(spark, d):
     base = _base(spark, d)
-    return ID.group_member_lists(_components(spark, d, base), EN.entity_customers(base), EN.entity_address_phones(base), LIST_CHUNK)
+    return ID.group_member_lists(_components(spark, d, base), _customers(spark, d, base), _phones(spark, d, base), LIST_CHUNK)
 
 
 @register(
