@@ -9,7 +9,7 @@ from souk.functions import text as X
 from souk.operators import dedupe as W
 from souk.operators import filters as FL
 from souk.operators import joins as JN
-from souk.oracle.master_sql import order_master_full_sql
+from souk.oracle.master_sql import order_master_full_sql, risk_extract_full_sql
 from souk.oracle.orders_sql import BEST_TXN, OM_EXPORT, RETURN_MASTER, category_tree_ctes, order_master_ctes, order_report_ctes
 from souk.oracle.views import package_log_sql, with_views
 from souk.plans import category, master, orders
@@ -148,6 +148,11 @@ def _risk_extract(spark, d):
     return orders.risk_extract(_master(spark, d), tv.journey_lines(spark, d), tv.package_log(spark, d), RISK_SINCE)
 
 
+@register("risk_extract_full", lambda: risk_extract_full_sql(AS_OF, RISK_SINCE, tv.LOG_STATUSES))
+def _risk_extract_full(spark, d):
+    return master.risk_extract_full(_master_full(spark, d), mv.risk_lines(spark, d), mv.tables(spark, d), mv.risk_tables(spark, d), RISK_SINCE)
+
+
 # ------------------------------------------------------------ W01 / W02 / W04 / W09 / A01 / A03
 @register(
     "best_transaction",
