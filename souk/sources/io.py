@@ -247,6 +247,7 @@ def write_event_layout(df: DataFrame, path: str, date_col: str = "event_date", s
 
 
 # ------------------------------------------------------------------------ S17
+# The copied columns in order.
 CATALOG_COLUMNS = [
     "vertical",
     "cat1",
