@@ -38,6 +38,33 @@ def test_neighbours_equal_brute_force(spark):
     assert ann.nearest(table.limit(0), F.lit(True)).count() == 0
 
 
+def test_vectors_that_share_an_id_are_candidates_each(spark):
+    rng = np.random.default_rng(3)
+    rows = [(0, [float(np.float32(x)) for x in rng.normal(size=4)], 0, 0)]
+    rows += [(1 + i % 20, [float(np.float32(x)) for x in rng.normal(size=4)], 0, 0) for i in range(200)]
+    table = spark.createDataFrame(rows, VECTORS).repartition(3)
+    a = np.array(rows[0][1])
+    want = sorted((float(np.sqrt(((a - np.array(v)) ** 2).sum())), i) for i, v, _, _ in rows[1:])[:10]
+    got = [(r.score, r.vec_id) for r in ann.nearest(table, F.col("vec_id") == 0, 10, 16, 16).orderBy("rank").collect()]
+    assert [i for _, i in got] == [i for _, i in want]
+    assert np.allclose([d for d, _ in got], [d for d, _ in want])
+
+
+def test_vectors_whose_squares_overflow_are_measured(spark):
+    rows = [(i, [1e200 * (i + 1), 1.0]) for i in range(30)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert [r.vec_id for r in ann.nearest(table, F.col("vec_id") == 0, 3).orderBy("rank").collect()] == [1, 2, 3]
+
+
+def test_language_model_reads_every_training_text(spark):
+    kinds = {"x": ("aba baab abba", "cdc dccd cddc"), "y": ("efe feef effe", "ghg hggh ghhg")}
+    rows = [(" ".join([text] * (1 + i % 5)) + " " + text[: i % 7], lang) for lang, texts in kinds.items() for text in texts for i in range(40)]
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"), sample=1)
+    probe = spark.createDataFrame([(text, lang) for lang, texts in kinds.items() for text in texts], "text string, lang string")
+    told = langid.predict(probe, model).collect()
+    assert all(r.lang_pred == r.lang and r.score > 0.3 for r in told)
+
+
 def test_chats_round_trip(spark):
     odd = ["", "<|im_end|>", "<|im_start|>assistant x", "<\\|", "<\\\\|im_end|>\n", "a<", "<|", "\n", "é<|im_end|>\n<|im_start|>user\nhi"]
     rows = []
