@@ -7,10 +7,11 @@ by spherical k-means; a text gets the language of the centroid with the
 largest cosine.  A text is rejected if its distance is far beyond that of
 training texts of its length, or if it has no letter.
 
-The document frequencies count every training row.  Only the centroids and
-the distance limits are fitted on a sample: about ``SAMPLE`` distinct texts
-per language, chosen by a hash (never by a language's share), and one text of
-every language at least.
+Document frequencies, centroids and distance limits come from every training
+row.  A sample (about ``SAMPLE`` distinct texts per language, chosen by a hash,
+one of every language at least) only tells where the centroids start; then
+``PASSES`` rounds of the k-means read all rows, and all are measured for the
+limits.
 """
 
 from __future__ import annotations
@@ -28,14 +29,16 @@ from pyspark.sql import types as T
 from souk.llm.text import LOWER, Shared, empty_text, pieces, utf8
 
 DIMS = 4096
-#: Expected distinct training texts per language that the centroids are fitted on.
+#: Expected distinct training texts per language that tell where the centroids start.
 SAMPLE = 400
+#: Rounds of the k-means over all training rows.
+PASSES = 3
 CLUSTERS = 4
 ROUNDS = 12
 #: A text is rejected below this part of the low quantile of its length's training cosines.
 SLACK = 0.5
 LOW_QUANTILE = 0.01
-#: The sample's texts are also cut to so many bytes, to learn the distances of short texts.
+#: Training texts are also cut to so many bytes, to learn the distances of short texts.
 CUTS = tuple(1 << k for k in range(2, 14))
 
 #: Letters' bytes in lower case (bytes above \x7F stay); all else reads as a gap.
@@ -170,26 +173,60 @@ def fit(train: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) -> Mod
     languages = sorted({r["lang"] for r in found})
     owner = np.array([languages.index(r["lang"]) for r in found], np.int64)
     model = Model(idf, languages, owner, np.stack([np.frombuffer(r["centroid"], np.float32) for r in found]), np.zeros(32))
-    model.limits = _limits(some, model)
+    for _ in range(PASSES):
+        model.centroids = _moved(train, model)
+    model.limits = _limits(train, model)
     return model
 
 
-def _limits(some: DataFrame, model: Model) -> np.ndarray:
-    """Least cosine that is not rejected, by length class, from the sample's texts and cuts of them.
+def _moved(train: DataFrame, model: Model) -> np.ndarray:
+    """Centroids after one round of the k-means over all rows; one that no text is nearest to stays."""
+    of = {name: np.flatnonzero(model.owner == k) for k, name in enumerate(model.languages)}
 
-    A class that the sample lacks has the limit of the nearest shorter one
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            offsets, data = utf8(batch.column("text"))
+            own = np.array([of[name][0] for name in batch.column("lang").to_pylist()], np.int64)
+            for i, j in pieces(offsets, 1 << 20, 128):
+                x = vectors(offsets[i : j + 1] - offsets[i], data[offsets[i] : offsets[j]], model.idf)
+                for first in np.unique(own[i:j]).tolist():  # a language's centroids are neighbours
+                    mine = x[own[i:j] == first]
+                    here = of[model.languages[model.owner[first]]]
+                    near = here[(mine @ model.centroids[here].T).argmax(axis=1)]
+                    for c in np.unique(near).tolist():
+                        sums[c] = sums.get(c, 0.0) + mine[near == c].sum(axis=0, dtype=np.float64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["centroid", "total"])
+
+    def total(table: pa.Table) -> pa.Table:
+        v = np.sum([np.frombuffer(b, np.float64) for b in sorted(table.column("total").to_pylist())], axis=0)
+        return pa.table({"centroid": table.column("centroid").slice(0, 1), "total": pa.array([v.tobytes()], pa.binary())})
+
+    moved = model.centroids.copy()
+    for r in train.mapInArrow(add, "centroid long, total binary").groupBy("centroid").applyInArrow(total, "centroid long, total binary").collect():
+        v = np.frombuffer(r["total"], np.float64)
+        moved[r["centroid"]] = v / max(np.sqrt(v @ v), 1e-12)
+    return moved
+
+
+def _limits(train: DataFrame, model: Model) -> np.ndarray:
+    """Least cosine that is not rejected, by length class, from all training texts and the cuts of the longer ones.
+
+    A class that they lack has the limit of the nearest shorter one
     (cosines grow with the length); those below all that it has reject nothing.
     """
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for cut in (*CUTS, None):
-                texts = batch.column("text") if cut is None else pc.utf8_slice_codeunits(batch.column("text"), 0, cut)
+                texts = batch.column("text")
+                if cut is not None:
+                    texts = pc.utf8_slice_codeunits(texts.filter(pc.greater(pc.utf8_length(texts), cut)), 0, cut)
                 texts = texts.filter(pc.match_substring_regex(texts, r"\p{L}"))
                 _, score, size = model.predict(texts)
                 yield pa.RecordBatch.from_arrays([pa.array(size), pa.array(score)], names=["size", "score"])
 
-    rows = some.select("text").mapInArrow(measure, "size long, score double").groupBy("size").agg(
+    rows = train.select("text").mapInArrow(measure, "size long, score double").groupBy("size").agg(
         F.percentile_approx("score", LOW_QUANTILE, 1000).alias("low")
     ).collect()
     limits = np.zeros(32)
