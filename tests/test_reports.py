@@ -13,6 +13,7 @@ from souk.plans import journey as J
 from souk.plans import milestones as MS
 from souk.plans.orders import ORDER_REPORT_LAYOUT
 from souk.sources import sheets as SHEETS
+from souk.sources import testviews as tv
 
 
 def test_percent_split(spark):
@@ -95,3 +96,22 @@ def test_threepl_takes_the_status_of_the_last_update(spark):
     assert (out["PKG1"].package_status, out["PKG1"].fulfillment_by, out["PKG1"].aging) == ("Assigned Delivery Man", "MarketPlace", 2.0)
     assert (out["x4"].fulfillment_by, out["x4"].aging, out["x4"].journey_type_3pl) == (None, 0.0, "unknown")
     assert out["x4"].seller_name == " Last"
+
+
+def test_order_totals_are_not_computed_where_nothing_reads_them(spark, tmp_path):
+    at = dt.datetime(2000, 1, 1)
+    line = (1, 5, 7, 1, 2.0, 10.0, "N", "F", at)
+    spark.createDataFrame(
+        [line, (1, 6, 7, 2, 3.0, 20.0, "N", "F", at), (None, *line[1:]), (9, *line[1:])],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame(
+        [(1, 3, "F", at, "2-HIGH"), (None, 3, "F", at, "2-HIGH")],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string",
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    lines = tv.order_lines(spark, str(tmp_path))
+    joins = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+    assert joins(lines.select("order_code", "qty")) == 1
+    assert joins(lines.select("order_code", "total_item_price")) == 2
+    assert [r.total_item_price for r in lines.select("variant_id", "total_item_price").collect()] == [D("30.00")] * 2

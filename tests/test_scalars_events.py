@@ -23,6 +23,14 @@ def test_phone_rules(spark):
     assert got == [("1712345678", "1712345678"), ("", None), ("", None)]
 
 
+def test_latest_milestone_of_nothing_is_null_and_its_plan_builds_no_rows(spark):
+    schema = "k int, p timestamp_ntz, q timestamp_ntz"
+    none = spark.createDataFrame([(1, None, None)], schema).union(spark.createDataFrame([(2, None, None)], schema))
+    out = spark.createDataFrame([(1,), (2,), (3,)], "k int").join(none, "k", "left").select(T.latest_milestone(["p", "q"]).alias("s"))
+    assert [r.s for r in out.collect()] == [None] * 3
+    assert "named_struct" not in out._jdf.queryExecution().analyzed().toString()
+
+
 def test_latest_milestone_tie_goes_to_later(spark):
     t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
     df = spark.createDataFrame([(t1, t2, t2), (None, None, None)], "cr_initiated timestamp, in_qc timestamp, qc_passed timestamp")
