@@ -26,6 +26,7 @@ from souk.functions import money as M
 from souk.functions import text as X
 from souk.operators.dedupe import asc, first_per_key
 from souk.operators.filters import clean_entity, filter_valid_orders
+from souk.operators.joins import lookup_by_order
 
 KEY = ["entity_type", "entity"]
 DEC = "decimal(18,2)"
@@ -91,7 +92,7 @@ def risk_lines(lines: DataFrame, tree: DataFrame | None = None) -> DataFrame:
     out = M.shipping_allocation(M.voucher_allocation(lines))
     if tree is not None:
         t = tree.select("category_id", "vertical", "cat1", "deepest_category")
-        out = out.join((t), "category_id", "left")
+        out = lookup_by_order(out, lines, ["category_id"], lambda keys: keys.join(t, "category_id", "left"))
     return out.withColumns(
         {
             "phone": X.fix_phone("phone"),
