@@ -77,13 +77,19 @@ def _attached(spark, d, base):
     return EN.abuse_attach(EN.entity_profile(base), v, s)
 
 
-def _groups(spark, d):
+def _group_map(spark, d):
+    """The base and its entities' groups: what the group tables of lines read, without the rollup."""
     base = _base(spark, d)
     comps = _components(spark, d, base)
+    return base, _stored(spark, id(base), "group-map", lambda: ID.entity_group_map(comps, _phones(spark, d, base)))
+
+
+def _groups(spark, d):
+    base, gmap = _group_map(spark, d)
+    comps = _components(spark, d, base)
     groups = _stored(
         spark, id(base), "groups", lambda: ID.group_rollup(_attached(spark, d, base), comps, _customers(spark, d, base))
     )
-    gmap = _stored(spark, id(base), "group-map", lambda: ID.entity_group_map(comps, _phones(spark, d, base)))
     return base, comps, groups, gmap
 
 
@@ -268,7 +274,7 @@ def _entity_groups(spark, d):
 
 @register("entity_group_map", lambda: _sql("SELECT member, entity_group_id FROM gmap", *ALL_GROUP_CTES, recursive=True))
 def _entity_group_map(spark, d):
-    return _groups(spark, d)[3]
+    return _group_map(spark, d)[1]
 
 
 #: Members of a chunk in the registered lists.
@@ -334,8 +340,7 @@ def _entity_member_lists(spark, d):
     ),
 )
 def _group_products(spark, d):
-    base, _, _, gmap = _groups(spark, d)
-    return ID.group_products(base, gmap)
+    return ID.group_products(*_group_map(spark, d))
 
 
 @register(
@@ -350,8 +355,7 @@ GROUP BY entity_group_id, shipping_state, shipping_city, shipping_zone""",
     ),
 )
 def _group_shipping(spark, d):
-    base, _, _, gmap = _groups(spark, d)
-    return ID.group_shipping(base, gmap)
+    return ID.group_shipping(*_group_map(spark, d))
 
 
 def _scored(spark, d, upto: str):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import shutil
 
 import __spark_entry__ as entry
@@ -36,3 +37,14 @@ def test_chain_is_written_once_and_follows_its_input(spark, tmp_path):
     (tmp_path / "sf" / "lineitem.parquet").unlink()
     half.write.parquet(f"{d}/lineitem.parquet")
     assert 0 < reg_risk._base(spark, d).count() < n
+
+
+def test_group_tables_of_lines_do_not_wait_for_the_rollup(spark, tmp_path):
+    for f in os.listdir(SF):
+        shutil.copyfile(f"{SF}/{f}", tmp_path / f)
+    before = set(reg_risk._MATERIALISED)
+    shipping, products, members = (entry.queries()[q](spark, str(tmp_path)) for q in ("group_shipping", "group_products", "entity_group_map"))
+    assert {name for _, name in set(reg_risk._MATERIALISED) - before} == {"base", "customers", "phones", "components", "group-map"}
+    assert shipping.count() and products.count()
+    made = entry.queries()["group_rollup"](spark, str(tmp_path)).select("entity_group_id")
+    assert same(members.select("entity_group_id").distinct(), made)
