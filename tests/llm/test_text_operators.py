@@ -318,6 +318,23 @@ def test_repeated_passages(spark, odd_docs, no_docs):
     assert substring.repeated_passages(no_docs).count() == 0
 
 
+def test_passages_whose_signatures_lead_elsewhere(spark):
+    """Documents with smaller and larger ids hold the passage's shingles, each on its own, and so lead its signatures."""
+    import random
+
+    from tests.llm.conftest import words
+
+    rng = random.Random(11)
+    passage = words(rng, 70)
+    w = passage.split()
+    scattered = lambda: " ".join(f"{words(rng, 45)} {' '.join(w[i : i + 5])}" for i in range(len(w) - 4))
+    rows = [(k, scattered()) for k in [*range(12), *range(900, 912)]] + [(k, f"{words(rng, 60)} {passage} {words(rng, 60)}") for k in (100, 101, 102)]
+    found = substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    linked = {(r.doc_id, r.other_id): (r.start, r.end, r.other_start, r.other_end) for r in found}
+    assert set(linked) == {(101, 100), (102, 100), (102, 101)}
+    assert all(a <= 60 and b >= 130 and c <= 60 and d >= 130 for a, b, c, d in linked.values())
+
+
 @pytest.mark.parametrize("n", [50, 54, 60, 70, 90, 130])
 def test_edited_passages_of_any_length_and_place(n):
     rng = np.random.default_rng(n)
