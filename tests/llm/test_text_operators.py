@@ -495,3 +495,59 @@ def test_limits_of_lengths_that_the_sample_lacks(spark):
     assert all(model.limits[k] == model.limits[top] > 0 for k in range(top, 32))
     far = spark.createDataFrame([(text("uvwxyz", 400),), (text("abcdefgh", 400),)], "text string")
     assert [r.rejected for r in langid.predict(far, model).collect()] == [True, False]
+
+
+def test_a_common_line_makes_no_candidates(spark):
+    """Documents that share a line, but no passage, are not compared one by one; those that share a passage beside it are."""
+    rng = np.random.default_rng(12)
+    prose = lambda n: [f"w{k}" for k in rng.integers(0, 5000, n)]
+    line = [f"line{k}" for k in range(13)]
+    rows = [(i, " ".join(prose(60) + line + prose(60))) for i in range(80)]
+    passage = prose(60)
+    rows[40], rows[50] = (40, " ".join(prose(60) + line + passage)), (50, " ".join(prose(60) + line + passage))
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    t = substring.WORDS - substring.SHINGLE + 1
+    shared = substring._shared_windows(texts, t).filter("doc <> lo AND doc <> hi")
+    line_only = shared.select("sig", "doc", "at", F.lit(0).cast("long").alias("lo"), F.lit(99).cast("long").alias("hi"))
+    none = spark.createDataFrame([], substring.PASSAGE)
+    assert line_only.select("doc").distinct().count() > 40
+    assert {(r.doc, r.leader) for r in substring._others(texts, line_only, none, t).collect()} <= {(50, 40)}
+    found = {(r.doc_id, r.other_id) for r in substring.repeated_passages(texts).collect()}
+    assert found == {(50, 40)}
+
+
+def test_similar_stretches_share_a_run():
+    """The least run is there in random stretches that are similar enough."""
+    assert [substring.least_run(t) for t in (4, 10, 46)] == [4, 9, 19]
+    rng = np.random.default_rng(13)
+    similar = 0
+    for _ in range(3000):
+        a = rng.integers(0, 1 << 30, int(rng.integers(50, 160)))
+        b = a.copy()
+        for _ in range(int(rng.integers(1, 7))):
+            at = int(rng.integers(0, len(b)))
+            b = [np.append(b[:at], b[at + 1 :]), np.insert(b, at, 1 << 31), np.concatenate([b[at:], b[:at]])][int(rng.integers(0, 3))]
+        x, y = (np.array([hash(tuple(v[i : i + 5].tolist())) & (2**32 - 1) for i in range(len(v) - 4)], np.uint32) for v in (a, b))
+        if min(len(x), len(y)) >= 46 and substring._similarity(x, y) >= substring.SIMILARITY:
+            similar += 1
+            assert substring._runs(x, y, np.argsort(y, kind="stable"))[2].max() >= 19
+    assert similar > 200
+
+
+def test_periodic_texts_are_compared_fast():
+    """Two texts that repeat a line of 51 shingles, with words changed: every part was measured one by one before."""
+    rng = np.random.default_rng(14)
+    period = rng.integers(0, 1 << 30, 51).astype(np.uint32)
+    other = period.copy()
+    other[5:12] += 1
+    other[30:37] += 1
+    start = time.process_time()
+    a, b = (np.append(np.tile(v, 60), np.full(60, k, np.uint32)) for v, k in ((period, 77), (other, 88)))
+    assert substring.verified(a, b, 46) == [(3046, 3092, 3046, 3092, 0.875)]
+    v = rng.integers(0, 9, 300).astype(np.uint32)
+    hits = np.concatenate(([0], np.cumsum(v < 5)))
+    p, g = np.array([0, 7, 7, 100]), np.array([40, 8, 300, 290])
+    mine, hit = substring._distinct(v, hits, p, g)
+    assert mine.tolist() == [len(set(v[i:j].tolist())) for i, j in zip(p, g)]
+    assert hit.tolist() == [len({k for k in v[i:j].tolist() if k < 5}) for i, j in zip(p, g)]
+    assert time.process_time() - start < 6
