@@ -371,11 +371,12 @@ def prepayment_subsidy(e: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ C10 / A11
-def entity_profile(lines: DataFrame, cancel_reasons: list[str] | None = None) -> DataFrame:
+def entity_profile(lines: DataFrame, cancel_reasons: list[str] | None = None, customers: DataFrame | None = None) -> DataFrame:
     """Per entity over *all* orders: items, orders, GMV, net (delivered and
     not returned) orders/items/money, return quantities and GMV by QC
     outcome, customer and overall cancellations, subsidies, first / last
-    order day, prepayment subsidy and accounts."""
+    order day, prepayment subsidy and accounts.  ``customers``: the lines'
+    ``entity_customers``, where they are written."""
     reasons = cancel_reasons or CANCEL_REASONS
     e = entity_union(M.return_flags(lines))
     cr = F.col("cancel_reason")
@@ -441,5 +442,5 @@ def entity_profile(lines: DataFrame, cancel_reasons: list[str] | None = None) ->
         F.min("first_d").alias("first_order_date"),
         F.max("last_d").alias("last_order_date"),
     )
-    out = g.join(prepayment_subsidy(e), KEY, "left").join(_accounts(e), KEY, "left")
+    out = g.join(prepayment_subsidy(e), KEY, "left").join(_accounts(e if customers is None else customers), KEY, "left")
     return out.withColumn("prepayment_subsidy", F.coalesce("prepayment_subsidy", F.lit(0)))

@@ -96,6 +96,22 @@ def connected_components(edges: DataFrame, hub_links: int = 10_000) -> DataFrame
             return labels.filter("own").select(F.col("b").alias("node"), F.col("label").alias("component"))
 
 
+def bipartite_components(edges: DataFrame) -> DataFrame:
+    """``connected_components`` of the ``src`` nodes of ``edges(src, dst)``
+    whose ``src`` and ``dst`` are different kinds of nodes.
+
+    What a ``dst`` links is linked to the smallest of it instead, so the
+    rounds shuffle the distinct links of ``src`` nodes, however many ``dst``
+    nodes make each of them; the ``dst`` nodes come back for the name."""
+    stars = edges.groupBy("dst").agg(F.min("src").alias("least"))
+    links = edges.join(stars, "dst").select("src", F.col("least").alias("dst")).distinct()
+    cc = connected_components(links)
+    lows = edges.groupBy("src").agg(F.least("src", F.min("dst")).alias("low"))
+    members = cc.join(lows, F.col("node") == F.col("src"))
+    names = members.groupBy("component").agg(F.min("low").alias("name"))
+    return cc.join(names, "component").select("node", F.col("name").alias("component"))
+
+
 def entity_node(type_col: str = "entity_type", entity_col: str = "entity"):
     return F.concat(F.lit("E:"), F.col(type_col), F.lit(":"), F.col(entity_col))
 
@@ -106,7 +122,7 @@ def entity_components(customers: DataFrame, address_phones: DataFrame) -> DataFr
     and by shared phones written in addresses."""
     e1 = customers.select(entity_node().alias("src"), F.concat(F.lit("C:"), F.col("customer_id").cast("string")).alias("dst"))
     e2 = address_phones.select(entity_node().alias("src"), F.concat(F.lit("P:"), F.col("phone_from_address")).alias("dst"))
-    cc = connected_components(e1.unionByName(e2))
+    cc = bipartite_components(e1.unionByName(e2))
     ents = customers.select(*KEY).unionByName(address_phones.select(*KEY)).distinct()
     return ents.withColumn("node", entity_node()).join(cc, "node").drop("node")
 

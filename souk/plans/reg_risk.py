@@ -74,7 +74,7 @@ def _attached(spark, d, base):
     facts = _stored(spark, id(base), "facts", lambda: EN.entity_order_facts(base))
     v = EN.voucher_abuse(base, _limits(spark, d), facts=facts)
     s = EN.shipping_abuse(base, EN.shipping_limits(tv.free_shipping_sheet(spark, d)), facts=facts)
-    return EN.abuse_attach(EN.entity_profile(base), v, s)
+    return EN.abuse_attach(EN.entity_profile(base, customers=_customers(spark, d, base)), v, s)
 
 
 def _group_map(spark, d):

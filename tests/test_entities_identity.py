@@ -159,3 +159,20 @@ def test_loyal_midnight_is_strict(spark):
     got = {r.entity_group_id: r.category for r in RK.loyal_customers(g, "2025-07-10 09:00:00").collect()}
     assert got == {"a": "Low Risk", "b": "Loyal Customer", "c": "Low Risk"}
     assert RK.loyal_customers(g, "2025-07-10 09:00:00").filter(F.col("category") == "Loyal Customer").count() == 1
+
+
+def test_components_links_are_contracted(spark, monkeypatch):
+    """Rounds run over distinct links of entities, not over one link per customer; names and groups are the plain ones."""
+    edges = [(f"E:Phone:{i % 3}", f"C:{i}") for i in range(600)] + [(f"E:DeviceID:{i % 2}", f"C:{i}") for i in range(0, 600, 3)]
+    edges += [("E:Phone:8", "P:77"), ("E:Phone:9", "P:77"), ("E:Phone:9", "C:0900"), ("E:Phone:lone", "P:1"), ("E:Phone:8", "P:77")]
+    df = spark.createDataFrame(edges, "src string, dst string")
+    plain = {(r.node, r.component) for r in ID.connected_components(df).collect() if r.node.startswith("E:")}
+    seen = []
+    whole = ID.connected_components
+    monkeypatch.setattr(ID, "connected_components", lambda e: (seen.append(e.count()), whole(e))[1])
+    customers = df.filter("dst like 'C:%'").selectExpr("split(src, ':')[1] AS entity_type", "split(src, ':')[2] AS entity", "substring(dst, 3) AS customer_id")
+    phones = df.filter("dst like 'P:%'").selectExpr("split(src, ':')[1] AS entity_type", "split(src, ':')[2] AS entity", "substring(dst, 3) AS phone_from_address")
+    got = {(f"E:{r.entity_type}:{r.entity}", r.component) for r in ID.entity_components(customers, phones).collect()}
+    assert got == plain
+    assert {c for n, c in got if n.startswith("E:Phone:") and n[-1] in "89"} == {"C:0900"}
+    assert max(seen) < 20
