@@ -12,10 +12,10 @@ distinct over:
 Every grain is smaller than the one before.  A buyer's rank and gap are
 windows on the buyer-day rows themselves, so new and returning buyers and
 the gap buckets need no second pass.  The two counts that are distinct
-within a day (return quantities, retail products) ride along: a line with
-such a value gives one more row, whose key is the value instead of the
-order, so the same aggregates make its distinct values and then count them.
-The lines are read once.
+within a day (return quantities, retail products) ride along: an order keeps
+the values of its lines, each gives one more row, whose key is the value
+instead of the buyer, so the same aggregates make a day's distinct values and
+then count them.  The order grain needs no shuffle: the lines lie by order.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.sql.window import Window
 
 from souk.functions.money import refund_amount, return_qty_capped, with_money, with_total_returns
 from souk.operators.filters import quality_return_predicate
+from souk.operators.joins import lookup_by_order
 
 DEC = "decimal(18,2)"
 
@@ -99,7 +100,11 @@ def daily_kpis(
     no use for them.  ``b2b_buyers`` compares with NULL there and is always
     0; ``b2b_buyer`` counts the buyers of the B2B seller code.
     """
-    base = with_returns(valid_kpi_lines(lines, since, as_of)).join(tree.select("category_id", "cat3"), "category_id", "left")
+    valid = valid_kpi_lines(lines, since, as_of)
+    # by order, so that the lines stay where their orders lie
+    base = lookup_by_order(
+        with_returns(valid), valid, ["category_id"], lambda keys: keys.join(tree.select("category_id", "cat3"), "category_id", "left")
+    )
     no_subsidy = (
         (F.col("seller_shipping") + F.col("platform_shipping") == 0)
         & (F.col("seller_discount") + F.col("platform_discount") == 0)
@@ -161,35 +166,33 @@ def daily_kpis(
     }
     names = [name for name, _ in SUMS]
 
-    # a line's own row, and one for each value of it that counts once a day
-    kinds = F.array(
-        F.struct(F.lit("line").alias("kind"), F.lit(0).cast("long").alias("v")),
-        F.struct(F.lit("quality").alias("kind"), F.when(quality, F.col("return_qty")).cast("long").alias("v")),
-        F.struct(F.lit("retail").alias("kind"), F.when(fulfillment == "Retail", F.col("product_id")).cast("long").alias("v")),
+    # order grain, where the lines lie already; the sets are bounded by one order's lines
+    orders = base.groupBy("order_code", "order_date", "customer_id").agg(
+        *[F.bool_or(flag[c]).alias(f"o_{c}") for c in FLAGS],
+        F.size(F.collect_set(F.when(cancelled, F.col("seller_id")))).alias("o_cancel_sellers"),
+        F.size(F.collect_set(F.when(seller_cancelled, F.col("seller_id")))).alias("o_seller_cancel_sellers"),
+        *[F.sum(value[c]).alias(f"s_{c}") for c in names],
+        F.collect_set(F.when(quality, F.col("return_qty")).cast("long")).alias("quality"),
+        F.collect_set(F.when(fulfillment == "Retail", F.col("product_id")).cast("long")).alias("retail"),
     )
-    rows = base.withColumn("x", F.explode(F.filter(kinds, lambda x: x["v"].isNotNull())))
+    # the order's own row, and one for each value of it that counts once a day
+    values = lambda kind: F.transform(kind, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("v")))
+    own_row = F.array(F.struct(F.lit("line").alias("kind"), F.lit(0).cast("long").alias("v")))
+    rows = orders.withColumn("x", F.explode(F.concat(own_row, values("quality"), values("retail"))))
     line = F.col("x.kind") == "line"
-    # order grain; the sets of cancelled sellers are bounded by one order's lines
-    orders = rows.groupBy(
-        "order_date", F.when(line, F.col("order_code")).alias("order_code"), F.when(line, F.col("customer_id")).alias("customer_id"),
-        F.col("x.kind").alias("kind"), F.col("x.v").alias("v"),
+    # buyer-day grain: order metrics go up as partial sums and counts; a day's distinct values have a row each
+    buyers = rows.groupBy(
+        "order_date", F.when(line, F.col("customer_id")).alias("customer_id"), F.col("x.kind").alias("kind"), F.col("x.v").alias("v")
     ).agg(
-        *[F.bool_or(F.when(line, flag[c])).alias(f"o_{c}") for c in FLAGS],
-        F.size(F.collect_set(F.when(line & cancelled, F.col("seller_id")))).alias("o_cancel_sellers"),
-        F.size(F.collect_set(F.when(line & seller_cancelled, F.col("seller_id")))).alias("o_seller_cancel_sellers"),
-        *[F.sum(F.when(line, value[c])).alias(f"s_{c}") for c in names],
-    )
-    # buyer-day grain: order metrics go up as partial sums and counts; a day's distinct values are counted
-    buyers = orders.groupBy("order_date", "customer_id", "kind").agg(
-        F.count(F.lit(1)).alias("b_orders"),
-        *[F.count_if(F.col(f"o_{c}")).alias(f"n_{c}") for c in FLAGS],
-        F.sum("o_cancel_sellers").alias("b_cancel_sellers"),
-        F.sum("o_seller_cancel_sellers").alias("b_seller_cancel_sellers"),
-        *[F.sum(f"s_{c}").alias(f"s_{c}") for c in names],
+        F.count_if(line).alias("b_orders"),
+        *[F.count_if(F.when(line, F.col(f"o_{c}"))).alias(f"n_{c}") for c in FLAGS],
+        F.sum(F.when(line, F.col("o_cancel_sellers"))).alias("b_cancel_sellers"),
+        F.sum(F.when(line, F.col("o_seller_cancel_sellers"))).alias("b_seller_cancel_sellers"),
+        *[F.sum(F.when(line, F.col(f"s_{c}"))).alias(f"s_{c}") for c in names],
     )
     # the buyer's rank and gap are windows on the same rows, not a second pass
     own = F.col("kind") == "line"
-    ranked = with_rank_and_gap(buyers, ["customer_id", "kind"]).withColumns(
+    ranked = with_rank_and_gap(buyers, ["customer_id", "kind", "v"]).withColumns(
         {"rank": F.when(own, F.col("rank")), "date_diff": F.when(own, F.col("date_diff"))}
     )
     d = ranked.groupBy("order_date").agg(
@@ -199,8 +202,8 @@ def daily_kpis(
         F.sum("b_cancel_sellers").alias("cancelled_orders"),
         F.sum("b_seller_cancel_sellers").alias("seller_cancelled_orders"),
         F.count_if(own).alias("total_buyers"),
-        F.sum(F.when(F.col("kind") == "quality", F.col("b_orders"))).alias("quality_returns"),
-        F.sum(F.when(F.col("kind") == "retail", F.col("b_orders"))).alias("gross_fbc_items"),
+        F.count_if(F.col("kind") == "quality").alias("quality_returns"),
+        F.count_if(F.col("kind") == "retail").alias("gross_fbc_items"),
         *_rank_aggs(),
         *[F.sum(f"s_{c}").alias(f"s_{c}") for c in names],
     )
