@@ -457,6 +457,39 @@ def test_class_probabilities_sum_to_one():
         assert all((level.tables >= 1).all() and (level.tables <= level.customers).all() for level in levels)
 
 
+def test_tables_are_drawn_from_their_conditional():
+    def partitions(n):
+        if not n:
+            yield []
+            return
+        for p in partitions(n - 1):
+            yield from ([*p[:i], p[i] + 1, *p[i + 1 :]] for i in range(len(p)))
+            yield [*p, 1]
+
+    c, others, p0, d, draws = 5, 3, 0.3, 0.4, 40000
+    want = np.zeros(c)
+    for p in partitions(c):
+        new = math.prod((lm.STRENGTH + d * (others + i)) * p0 for i in range(len(p)))
+        want[len(p) - 1] += new * math.prod(j - d for size in p for j in range(1, size))
+    got = lm.draw_tables(np.full(draws, c), np.full(draws, others), np.full(draws, p0), d, np.arange(draws).astype(np.uint64))
+    assert np.abs(np.bincount(got, minlength=c + 1)[1:] / draws - want / want.sum()).max() < 0.01
+    many = lm.draw_tables(np.array([1, 2, 100_000]), np.array([0, 5, 50]), np.array([0.5, 1e-9, 0.1]), d, np.arange(3).astype(np.uint64))
+    assert many[0] == 1 and 1 <= many[1] <= 2 and 1 < many[2] < 100_000
+
+
+def test_every_word_is_a_context(spark, monkeypatch):
+    """However rare a word is, what follows it in training is likelier after it."""
+    monkeypatch.setattr(lm, "CLASSES", 2)
+    monkeypatch.setattr(lm, "TOP", 8)
+    rows = [(i, " ".join(f"left{i} right{i}" if k % 2 else "the and" for k in range(4))) for i in range(30)]
+    rows += [(1000 + i, f"left{i} right{i}") for i in range(30)] + [(2000 + i, f"left{i} right{(i + 1) % 30}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in lm.score(docs, F.col("doc_id") < 1000).collect()}
+    assert all(got[1000 + i] > got[2000 + i] + 0.5 for i in range(30))
+    _, _, words, root = lm.fit(docs.filter("doc_id < 1000"))
+    assert math.isclose(sum(10**r.log_p for r in words.collect()) + root.p_new, 1)
+
+
 def test_repeated_shingles_cost_little():
     rng = np.random.default_rng(1)
     t = substring.WORDS - substring.SHINGLE + 1
